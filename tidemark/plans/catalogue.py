@@ -1,9 +1,544 @@
-"""Queries of the merge engine, and their SQL."""
+"""Queries of the merge engine, one or more an operator, and the SQL that each must equal."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
+from datetime import date, datetime
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def oracle_sql():
-    return {}
+from ..functions import coerce as co
+from ..functions import payload as pl
+from ..operators import apply, stage, window
+from ..sources import config as conf
+from ..sources import feeds, runlog
+from ..sources import schema as sch
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+KEYS = ["user_id", "k"]
+TARGET = T.StructType.fromDDL("user_id bigint, k bigint, event_type string, value double, pos bigint")
+COLS = ["user_id", "k", "event_type", "value", "pos"]
+JOB = conf.JobConfig("silver", "events", "events_cdc", tuple(KEYS), json_key_overrides={"pos": "__source_pos"})
+RUN_TS = datetime(2024, 2, 1)
+ENDS = [datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2024, 2, 1)]
+
+# --- the logs in SQL -----------------------------------------------------------------
+
+E1 = """e1 as (select user_id, cast(props->>'$.k' as bigint) as k, event_type, value, event_id as pos, epoch_us(ts) * 1000 as ts_ns, ts as load_ts,
+    case when event_id % 97 = 0 then null when event_id % 5 = 0 then 'd' when event_id % 7 = 0 then 'c' else 'u' end as op from events)"""
+
+
+def _latest(cond: str, keys: str = "user_id, k", src: str = "e1") -> str:
+    return f"select * from {src} where {cond} qualify row_number() over (partition by {keys} order by ts_ns desc, pos desc) = 1"
+
+
+def _window_sql(start: str, end: str) -> str:
+    return f"load_ts > {start} and load_ts <= timestamp '{end}'"
+
+
+W1 = _window_sql("timestamp '1970-01-01'", "2024-01-11")
+W12 = _window_sql("timestamp '1970-01-01'", "2024-01-21")
+I1 = f"i1 as ({_latest(W1 + ' and op is not null and op <> ' + chr(39) + 'd' + chr(39))})"
+D1 = f"d1 as ({_latest(W1 + ' and op = ' + chr(39) + 'd' + chr(39))})"
+A1 = "a1 as (select d1.* from d1 left join i1 using (user_id, k) where i1.pos is null or i1.ts_ns < d1.ts_ns)"
+T1 = "t1 as (select user_id, k, event_type, value, pos from i1 where not exists (from a1 where a1.user_id = i1.user_id and a1.k = i1.k))"
+
+
+def windows_sql(profile: str, n: int = 3, part: str = "target") -> str:
+    """The merge of ``n`` windows, the next starting at the last upsert's load time."""
+    ctes = [E1, "t0 as (select user_id, k, event_type, value, pos from e1 where false)"]
+    for w, end in enumerate(ENDS[:n], 1):
+        start = "timestamp '1970-01-01'" if w == 1 else f"(select max(load_ts) from i{w - 1})"
+        cond = _window_sql(start, f"{end:%Y-%m-%d}")
+        ctes.append(f"i{w} as ({_latest(cond + ' and op is not null and op <> ' + chr(39) + 'd' + chr(39))})")
+        ctes.append(f"d{w} as ({_latest(cond + ' and op = ' + chr(39) + 'd' + chr(39))})")
+        ctes.append(f"a{w} as (select d.* from d{w} d left join i{w} i using (user_id, k) where i.pos is null or i.ts_ns < d.ts_ns)")
+        old, cols = f"t{w - 1}", "user_id, k, event_type, value, pos"
+        gate = " and i.op = 'u'" if profile == "op_gated" else ""
+        same = "i.user_id = t.user_id and i.k = t.k"
+        ctes.append(f"u{w} as (select t.* from {old} t where not exists (from i{w} i where {same}{gate}) union all select {cols} from i{w} i where {('(i.op = ' + chr(39) + 'u' + chr(39) + ' and exists (from ' + old + ' t where ' + same + ')) or ') if gate else ''}{'not exists (from ' + old + ' t where ' + same + ')' if gate else 'true'})")
+        ctes.append(f"t{w} as (select {cols} from u{w} t where not exists (from a{w} i where {same}))")
+    return "with " + ",\n".join(ctes) + f"\nselect * from t{n}"
+
+
+# --- the logs in Spark ---------------------------------------------------------------
+
+
+def enveloped(spark: SparkSession, sf_dir: str, profile: str = pl.UPSERT) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return pl.envelope(feeds.events(spark, sf_dir), [("user_id", "user_id", "bigint"), ("k", "k", "bigint")], profile)
+
+
+def plain(df: DataFrame, *more: str) -> DataFrame:
+    """The stage's rows as ordinary columns."""
+    v = F.col("_v")
+    image = [pl.get(v, "event_type", "string").alias("event_type"), pl.get(v, "value", "double").alias("value")]
+    return df.select("user_id", "k", *image, F.col("_pos").alias("pos"), F.col("_ts_ns").alias("ts_ns"), *more)
+
+
+def staged(spark: SparkSession, sf_dir: str, start: datetime = window.EPOCH, end: datetime = ENDS[0], fused: bool = False):
+    from .engine import Options, stages
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return stages(window.in_window(feeds.events(spark, sf_dir), start, end), JOB, TARGET, RUN_TS, Options(fused=fused))
+
+
+def empty_target(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], TARGET)
+
+
+def replay(spark: SparkSession, sf_dir: str, profile: str, windows: int = 3, fused: bool = False) -> DataFrame:
+    """The target after some windows; each starts at the last upsert's load time (one scalar a window)."""
+    from .engine import Options, stages
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    log = feeds.events(spark, sf_dir)
+    target, start = empty_target(spark), window.EPOCH
+    for n, end in enumerate(ENDS[:windows]):
+        got = stages(window.in_window(log, start, end), JOB, TARGET, RUN_TS, Options(profile=profile, fused=fused))
+        target = apply.merge(target, got.upserts, got.deletes, KEYS, profile)
+        if n + 1 < windows:
+            start = got.upserts.agg(F.max("load_ts")).first()[0] or start
+    return target
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+# --- log, window, filters ------------------------------------------------------------
+
+
+@query("feed_events", f"with {E1} select user_id, k, event_type, value, pos, ts_ns, op, load_ts from e1")
+def feed_events(spark, sf_dir):
+    return plain(enveloped(spark, sf_dir), F.col("_op").alias("op"), "load_ts")
+
+
+@query("window_filter", f"with {E1} select pos, load_ts from e1 where {W1}")
+def window_filter(spark, sf_dir):
+    log = window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0])
+    return log.select(F.col("_pos").alias("pos"), "load_ts")
+
+
+@query("op_filters", f"with {E1} select case when op = 'd' then 'delete' else 'upsert' end as kind, count(*) as n, cast(sum(pos) as bigint) as sum_pos from e1 where op is not null group by 1")
+def op_filters(spark, sf_dir):
+    log = enveloped(spark, sf_dir).where(F.col("_op").isNotNull())
+    return log.groupBy(F.when(F.col("_op") == "d", "delete").otherwise("upsert").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("_pos").alias("sum_pos"))
+
+
+# --- stage ---------------------------------------------------------------------------
+
+
+@query("latest_upserts_single_pk", f"with {E1}, l as ({_latest('op is not null and op <> ' + chr(39) + 'd' + chr(39), 'user_id')}) select user_id, k, event_type, value, pos, ts_ns from l")
+def latest_upserts_single_pk(spark, sf_dir):
+    return plain(stage.latest_upserts(enveloped(spark, sf_dir), ["user_id"]))
+
+
+@query("latest_upserts_multi_pk", f"with {E1}, {I1} select user_id, k, event_type, value, pos, ts_ns from i1")
+def latest_upserts_multi_pk(spark, sf_dir):
+    return plain(stage.latest_upserts(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS))
+
+
+@query("latest_deletes", f"with {E1}, {D1} select user_id, k, pos, ts_ns from d1")
+def latest_deletes(spark, sf_dir):
+    return plain(stage.latest_deletes(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS)).drop("event_type", "value")
+
+
+@query("arbitrated_deletes", f"with {E1}, {I1}, {D1}, {A1} select user_id, k, pos, ts_ns from a1")
+def arbitrated_deletes(spark, sf_dir):
+    log = window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0])
+    return plain(stage.arbitrate(stage.latest_deletes(log, KEYS), stage.latest_upserts(log, KEYS), KEYS)).drop("event_type", "value")
+
+
+@query("fused_latest", f"with {E1}, {I1}, {D1}, {A1} select 'I' as kind, user_id, k, pos, ts_ns from i1 union all select 'D', user_id, k, pos, ts_ns from a1")
+def fused_latest(spark, sf_dir):
+    log = window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0])
+    return stage.fused(log, KEYS, []).select("kind", *KEYS, F.col("_pos").alias("pos"), F.col("_ts_ns").alias("ts_ns"))
+
+
+@query("stage_stats", f"with {E1}, {I1}, {D1}, {A1} select (select count(*) from i1) as records_inserted, (select count(*) from a1) as records_deleted, (select min(load_ts) from i1) as min_load_ts, (select max(load_ts) from i1) as max_load_ts")
+def stage_stats(spark, sf_dir):
+    got = staged(spark, sf_dir)
+    return stage.stage_stats(got.upserts, got.deletes).drop("max_any_load_ts")
+
+
+@query("stage_repeated_keys", "select l_orderkey, l_linenumber, count(*) as count from lineitem group by all having count(*) > 1")
+def stage_repeated_keys(spark, sf_dir):
+    return apply.repeated_keys(feeds.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+L1_SQL = """with l as (select *, l_partkey * 100000 + l_suppkey as pos, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey * 100000 + l_suppkey desc) as rn from lineitem)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, pos from l where rn = 1"""
+
+
+@query("dedup_lineitem", L1_SQL)
+def dedup_lineitem(spark, sf_dir):
+    keys = [("l_orderkey", "l_orderkey", "bigint"), ("l_linenumber", "l_linenumber", "int")]
+    log = pl.envelope(feeds.lineitem(spark, sf_dir), keys)
+    v = F.col("_v")
+    image = [pl.get(v, c, t).alias(c) for c, t in (("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_quantity", "double"))]
+    return stage.latest_upserts(log, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", *image, F.col("_pos").alias("pos"))
+
+
+# --- merge ---------------------------------------------------------------------------
+
+
+@query("upsert_merge", f"with {E1}, {I1}, {D1}, {A1}, {T1} select * from t1")
+def upsert_merge(spark, sf_dir):
+    got = staged(spark, sf_dir)
+    return apply.merge(empty_target(spark), got.upserts, got.deletes, KEYS)
+
+
+@query("upsert_merge_fused", f"with {E1}, {I1}, {D1}, {A1}, {T1} select * from t1")
+def upsert_merge_fused(spark, sf_dir):
+    got = staged(spark, sf_dir, fused=True)
+    return apply.merge(empty_target(spark), got.upserts, got.deletes, KEYS)
+
+
+#: A base to merge into: the first window's result; and the second window's stage.
+SECOND = f"""{E1}, {I1}, {D1}, {A1}, {T1},
+i2 as ({_latest(_window_sql("timestamp '2024-01-11'", '2024-01-21') + ' and op is not null and op <> ' + chr(39) + 'd' + chr(39))}),
+d2 as ({_latest(_window_sql("timestamp '2024-01-11'", '2024-01-21') + ' and op = ' + chr(39) + 'd' + chr(39))}),
+a2 as (select d2.* from d2 left join i2 using (user_id, k) where i2.pos is null or i2.ts_ns < d2.ts_ns)"""
+
+
+def second(spark, sf_dir):
+    one = staged(spark, sf_dir)
+    return apply.merge(empty_target(spark), one.upserts, one.deletes, KEYS), staged(spark, sf_dir, ENDS[0], ENDS[1])
+
+
+@query("op_gated_update", f"with {SECOND} select t.user_id, t.k, coalesce(i.event_type, t.event_type) as event_type, coalesce(i.value, t.value) as value, coalesce(i.pos, t.pos) as pos from t1 t left join (select * from i2 where op = 'u') i on t.user_id = i.user_id and t.k = i.k")
+def op_gated_update(spark, sf_dir):
+    target, got = second(spark, sf_dir)
+    return apply.update_matched(target, got.upserts.where(F.col("_op") == "u"), KEYS)
+
+
+@query("insert_not_exists", f"with {SECOND} select user_id, k, event_type, value, pos from i2 where not exists (from t1 where t1.user_id = i2.user_id and t1.k = i2.k)")
+def insert_not_exists(spark, sf_dir):
+    target, got = second(spark, sf_dir)
+    return apply.insert_missing(target, got.upserts, KEYS)
+
+
+@query("delete_matched", f"with {SECOND} select * from t1 where not exists (from a2 where t1.user_id = a2.user_id and t1.k = a2.k)")
+def delete_matched(spark, sf_dir):
+    target, got = second(spark, sf_dir)
+    return apply.delete_matched(target, got.deletes, KEYS)
+
+
+@query("guard_late_merge", f"with {E1}, {I1}, f as (select * from e1 where op is not null and op <> 'd' and {_window_sql(chr(116) + 'imestamp ' + chr(39) + '2024-01-11' + chr(39), '2024-01-21')}), late as ({_latest('true', src='f')}), both_ as (select * from i1 union all select * from late) select user_id, k, event_type, value, pos, ts_ns from both_ qualify row_number() over (partition by user_id, k order by ts_ns desc) = 1")
+def guard_late_merge(spark, sf_dir):
+    """The second window's upserts are loaded first, then the first's, which must not overwrite newer rows."""
+    one, two = staged(spark, sf_dir), staged(spark, sf_dir, ENDS[0], ENDS[1])
+    shape = lambda s: s.upserts.withColumn("ts_ns", F.col("_ts_ns"))
+    target = shape(two).select(*COLS, "ts_ns")
+    return apply.upsert(target, shape(one), KEYS, version="ts_ns")
+
+
+@query("three_window_upsert", windows_sql("upsert"))
+def three_window_upsert(spark, sf_dir):
+    return replay(spark, sf_dir, pl.UPSERT)
+
+
+@query("three_window_op_gated", windows_sql("op_gated"))
+def three_window_op_gated(spark, sf_dir):
+    return replay(spark, sf_dir, pl.OP_GATED)
+
+
+@query("three_window_upsert_fused", windows_sql("upsert"))
+def three_window_upsert_fused(spark, sf_dir):
+    return replay(spark, sf_dir, pl.UPSERT, fused=True)
+
+
+@query("snapshot_orders", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+def snapshot_orders(spark, sf_dir):
+    from .engine import stages
+
+    cfg = conf.JobConfig("silver", "orders", "orders_cdc", ("o_orderkey",))
+    target = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
+    got = stages(feeds.orders(spark, sf_dir), cfg, target, RUN_TS)
+    return apply.merge(spark.createDataFrame([], target), got.upserts, got.deletes, ["o_orderkey"])
+
+
+@query("key_cast_join", "select o_orderkey, o_totalprice from orders where o_orderkey % 3 = 0")
+def key_cast_join(spark, sf_dir):
+    """Keys arrive as zero-padded text and must meet the target's numbers."""
+    o = feeds.read(spark, sf_dir, "orders")
+    texts = o.where("o_orderkey % 3 = 0").select(F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("key_text"))
+    return o.join(texts.select(F.col("key_text").cast("bigint").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey", "o_totalprice")
+
+
+# --- coercion ------------------------------------------------------------------------
+
+
+def _orders_text(spark, sf_dir, profile=pl.UPSERT):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return pl.envelope(feeds.orders(spark, sf_dir), [("o_orderkey", "o_orderkey", "bigint")], profile)
+
+
+def rule(name: str, key: str, make, sql: str, profile: str = pl.UPSERT):
+    def run(spark, sf_dir):
+        return _orders_text(spark, sf_dir, profile).select("o_orderkey", make(pl.scalar_text(F.col("_v"), key, profile)).alias("v"))
+
+    query(name, f"select o_orderkey, {sql} as v from orders")(run)
+
+
+rule("coerce_sys_end_time", "od_iso", lambda x: co.sys_end_time().cast("string"), "'9999-12-31 23:59:59.999999'")
+rule("coerce_row_key_binary", "rowkey_b64", co.row_key_from_base64, "o_orderkey")
+rule("coerce_row_key_time", "od_iso", co.row_key_from_time, "epoch_us(o_orderdate) // 1000000")
+rule("coerce_epoch_nanos", "od_nano", co.epoch_nanos, "o_orderdate")
+rule("coerce_epoch_days", "od_day", co.epoch_days, "cast(o_orderdate as date)")
+rule("coerce_epoch_seconds", "od_sec", co.epoch_seconds, "date_trunc('second', o_orderdate)")
+rule("coerce_epoch_seconds_ist", "od_sec", co.epoch_seconds_ist, "date_trunc('second', o_orderdate) + interval 330 minute")
+rule("coerce_epoch_millis", "od_ms", co.epoch_millis, "date_trunc('millisecond', o_orderdate)")
+rule("coerce_epoch_day_text", "od_day", co.epoch_day_text, "strftime(o_orderdate, '%Y-%m-%d')")
+rule("coerce_bit", "is_open_bit", co.bit_to_int, "cast(o_orderstatus = 'O' as int)")
+rule("coerce_bool", "is_open_bool", co.boolean, "o_orderkey % 4 < 2")
+rule("coerce_iso_datetime", "od_iso", co.iso_to_utc, "date_trunc('second', o_orderdate)")
+rule("coerce_iso_wall", "od_iso", co.iso_to_wall, "date_trunc('second', o_orderdate)", pl.OP_GATED)
+rule("coerce_iso_to_number", "od_iso", co.iso_to_number, "cast(strftime(o_orderdate, '%Y%m%d%H%M%S') as bigint)")
+rule("coerce_ist_now", "od_iso", lambda x: co.ist_now(window.ntz(RUN_TS)), "timestamp '2024-02-01 05:30:00'")
+rule("coerce_json", "attrs", lambda x: F.try_variant_get(co.json_value(x), "$.p", "string"), "case when o_orderkey % 50 <> 0 then o_orderpriority end")
+rule("coerce_decimal", "price_txt", lambda x: x.cast("decimal(18,2)"), "cast(o_totalprice as decimal(18,2))")
+rule("coerce_varchar", "o_orderstatus", lambda x: F.substring(x, 1, 1), "substr(o_orderstatus, 1, 1)")
+rule("coerce_null_text", "nullish", lambda x: x, "case when o_orderkey % 4 > 1 then o_orderpriority end", pl.OP_GATED)
+rule("coerce_null_text_kept", "nullish", lambda x: x, "case o_orderkey % 4 when 0 then null when 1 then 'null' else o_orderpriority end")
+
+
+SAMPLES = """(1, '{"a": 7}'), (2, '{"a": null}'), (3, '{}'), (4, '{"a": "null"}'), (5, '{"a": {"b": 1}}'), (6, '{"a": [1, 2]}'), (7, '{"a": true}'), (8, '{"a b": 1}')"""
+
+
+@query(
+    "coerce_json_null_policies",
+    f"""with s(id, data) as (values {SAMPLES}), j as (select id, json_type(data, '$.a') as t, data->>'$.a' as x from s)
+    select id, case when t in ('OBJECT', 'ARRAY') then null else x end as upsert_text, case when x = 'null' then null else x end as gated_text from j""".replace('{"b": 1}', '{"b":1}').replace("[1, 2]", "[1,2]"),
+)
+def coerce_json_null_policies(spark, sf_dir):
+    rows = spark.sql(f"select * from values {SAMPLES} as t(id, data)").withColumn("_v", pl.parsed(F.col("data")))
+    v = F.col("_v")
+    return rows.select("id", pl.scalar_text(v, "a").alias("upsert_text"), pl.scalar_text(v, "a", pl.OP_GATED).alias("gated_text"))
+
+
+@query("json_key_override", f"with {E1} select pos, event_type as kind from e1")
+def json_key_override(spark, sf_dir):
+    """The target's column ``kind`` is read from another key."""
+    cfg = conf.JobConfig("silver", "x", "x", ("pos",), json_key_overrides={"kind": "event_type", "pos": "__source_pos"})
+    target = T.StructType.fromDDL("pos bigint, kind string")
+    rows = enveloped(spark, sf_dir)
+    return rows.select(*co.project(cfg, sch.specs(target, skip_reserved=False), window.ntz(RUN_TS)))
+
+
+@query("metadata_projection_upsert", f"with {E1}, {I1} select user_id, k, make_timestamp(ts_ns // 1000) as source_ts_ns_order, load_ts, pos, timestamp '2024-02-01' as updated_on from i1")
+def metadata_projection_upsert(spark, sf_dir):
+    i = stage.latest_upserts(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS)
+    return i.select(*KEYS, co.epoch_nanos(F.col("_ts_ns")).alias("source_ts_ns_order"), "load_ts", F.col("_pos").alias("pos"), window.ntz(RUN_TS).alias("updated_on"))
+
+
+@query("metadata_projection_op_gated", f"with {E1}, {I1} select user_id, k, make_timestamp(ts_ns // 1000) as source_ts_ns_order, pos, load_ts, timestamp '2024-02-01' as updated_on, op from i1")
+def metadata_projection_op_gated(spark, sf_dir):
+    i = stage.latest_upserts(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS)
+    return i.select(*KEYS, co.epoch_nanos(F.col("_ts_ns")).alias("source_ts_ns_order"), F.col("_pos").alias("pos"), "load_ts", window.ntz(RUN_TS).alias("updated_on"), F.col("_op").alias("op"))
+
+
+@query("target_shape_projection", "select o_orderkey, cast(o_totalprice as decimal(18,2)) as price_txt, date_trunc('second', o_orderdate) as od_iso, cast(o_orderdate as date) as od_day, o_orderkey % 4 < 2 as is_open_bool, cast(o_orderstatus = 'O' as int) as is_open_bit, o_orderdate as od_nano from orders")
+def target_shape_projection(spark, sf_dir):
+    """The target's schema and the rule lists give the whole projection."""
+    cfg = conf.JobConfig("silver", "o", "o", ("o_orderkey",), epoc_nano_cols=("od_nano",), epoc_day_cols=("od_day",), bit_to_int_col=("is_open_bit",), non_epoch_datetime_col=("od_iso",))
+    target = T.StructType.fromDDL("o_orderkey bigint, price_txt decimal(18,2), od_iso timestamp_ntz, od_day date, is_open_bool boolean, is_open_bit int, od_nano timestamp_ntz, pos bigint")
+    return _orders_text(spark, sf_dir).select(*co.project(cfg, sch.specs(target), window.ntz(RUN_TS)))
+
+
+# --- control tables ------------------------------------------------------------------
+
+CONFIG_ROWS = [
+    ("silver", "events", "e_cdc.events", "user_id, k", "ts , \nload_ts", "", 1),
+    ("silver", "orders", "o_cdc.orders", "o_orderkey", None, "a,b,,c", 1),
+    ("silver", "old", "x_cdc.old", "id", "", None, 0),
+    ("silver", "unset", "y_cdc.unset", "id", None, None, None),
+]
+CONFIG_SQL = """c(target_database, target_table, cdc_table, pk, epoc_cols, epoc_nano_cols, is_active) as (values
+    ('silver', 'events', 'e_cdc.events', 'user_id, k', 'ts , ' || chr(10) || 'load_ts', '', 1), ('silver', 'orders', 'o_cdc.orders', 'o_orderkey', null, 'a,b,,c', 1),
+    ('silver', 'old', 'x_cdc.old', 'id', '', null, 0), ('silver', 'unset', 'y_cdc.unset', 'id', null, null, null))"""
+
+
+def config_rows(spark):
+    return spark.createDataFrame(CONFIG_ROWS, "target_database string, target_table string, cdc_table string, pk string, epoc_cols string, epoc_nano_cols string, is_active int")
+
+
+@query("config_lookup", f"with {CONFIG_SQL} select target_table, pk from c where target_database = 'silver' and target_table = 'events' and cdc_table = 'e_cdc.events'")
+def config_lookup(spark, sf_dir):
+    return conf.lookup_rows(config_rows(spark), "silver", "events", "e_cdc.events").select("target_table", "pk")
+
+
+@query("config_active", f"with {CONFIG_SQL} select target_table from c where is_active = 1")
+def config_active(spark, sf_dir):
+    return conf.active(config_rows(spark)).select("target_table")
+
+
+@query("config_lists", f"with {CONFIG_SQL}, l as (select target_table, unnest(['pk', 'epoc_cols', 'epoc_nano_cols']) as list, unnest([pk, epoc_cols, epoc_nano_cols]) as txt from c), s as (select target_table, list, generate_subscripts(x, 1) as nth, unnest(x) as item from (select target_table, list, list_filter(string_split(regexp_replace(txt, '\\s', '', 'g'), ','), lambda y: y <> '') as x from l)) select target_table, list, nth - 1 as nth, item, item in ('k', 'load_ts', 'b') as listed from s")
+def config_lists(spark, sf_dir):
+    c = config_rows(spark)
+    lists = F.explode(F.array(*[F.struct(F.lit(n).alias("list"), conf.clean_list(F.col(n)).alias("items")) for n in ("pk", "epoc_cols", "epoc_nano_cols")]))
+    flat = c.select("target_table", lists.alias("x")).select("target_table", "x.list", F.posexplode("x.items").alias("nth", "item"))
+    return flat.withColumn("nth", F.col("nth").cast("bigint")).withColumn("listed", F.find_in_set(F.col("item"), F.lit("k,load_ts,b")) > 0)
+
+
+@query("log_table_name", f"with {CONFIG_SQL} select cdc_table, 'last_run_' || replace(split_part(cdc_table, '.', 1), '_cdc', '') || '_' || split_part(cdc_table, '.', 2) as log_table from c")
+def log_table_name(spark, sf_dir):
+    first = F.replace(F.substring_index("cdc_table", ".", 1), F.lit("_cdc"), F.lit(""))
+    return config_rows(spark).select("cdc_table", F.concat(F.lit("last_run_"), first, F.lit("_"), F.substring_index("cdc_table", ".", -1)).alias("log_table"))
+
+
+@query("schema_catalog", "select * from (values ('user_id', 'bigint', 1, true), ('k', 'bigint', 2, true), ('event_type', 'string', 3, false), ('value', 'double', 4, false)) as t(column_name, data_type, ordinal_position, is_key)")
+def schema_catalog(spark, sf_dir):
+    rel = sch.as_relation(spark, TARGET, KEYS)
+    return rel.where(~F.lower("column_name").isin(*sorted(sch.RESERVED)))
+
+
+@query("ordered_listagg", "select r_name, string_agg(n_name, ', ' order by n_nationkey) as names from nation join region on n_regionkey = r_regionkey group by r_name")
+def ordered_listagg(spark, sf_dir):
+    n, r = feeds.read(spark, sf_dir, "nation"), feeds.read(spark, sf_dir, "region")
+    items = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"])
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.array_join(items, ", ").alias("names"))
+
+
+LOG_ROWS = [
+    ("r1", "c", "silver", "2024-01-01", "t", "SUCCESS", 1, 0), ("r2", "c", "silver", "2024-01-05", "t", "SUCCESS", 3, 2), ("r3", "c", "silver", "2024-01-09", "t", "FAILED", 0, 0),
+    ("r4", "c", "silver", None, "t", "SUCCESS", 0, 4), ("r5", "other", "silver", "2024-03-01", "u", "SUCCESS", 9, 9),
+]
+LOG_SQL = """l(id, cdc_table_name, target_database, cdc_end_ts, target_table, run_status, records_inserted, records_deleted) as (values
+    ('r1', 'c', 'silver', timestamp '2024-01-01', 't', 'SUCCESS', 1::bigint, 0::bigint), ('r2', 'c', 'silver', timestamp '2024-01-05', 't', 'SUCCESS', 3, 2),
+    ('r3', 'c', 'silver', timestamp '2024-01-09', 't', 'FAILED', 0, 0), ('r4', 'c', 'silver', null, 't', 'SUCCESS', 0, 4), ('r5', 'other', 'silver', timestamp '2024-03-01', 'u', 'SUCCESS', 9, 9))"""
+
+
+def log_rows(spark):
+    df = spark.createDataFrame(LOG_ROWS, "id string, cdc_table_name string, target_database string, end_text string, target_table string, run_status string, records_inserted bigint, records_deleted bigint")
+    return df.withColumn("cdc_end_ts", F.to_timestamp_ntz("end_text")).drop("end_text")
+
+
+@query("watermark_read", f"with {LOG_SQL} select coalesce(max(cdc_end_ts), timestamp '1970-01-01') as start_ts from l where cdc_table_name = 'c' and target_table = 't' and run_status = 'SUCCESS'")
+def watermark_read(spark, sf_dir):
+    return window.watermark(log_rows(spark), "c", "silver", "t")
+
+
+@query("watermark_first_run", "select timestamp '1970-01-01' as start_ts")
+def watermark_first_run(spark, sf_dir):
+    return window.watermark(log_rows(spark), "new", "silver", "new")
+
+
+@query("next_run_id", f"with {LOG_SQL} select coalesce(max(cast(substr(id, 2) as bigint)), 0) + 1 as next_id from l")
+def next_run_id(spark, sf_dir):
+    return window.next_run_id(log_rows(spark).withColumn("id", F.expr("cast(substr(id, 2) as bigint)")))
+
+
+@query("run_log_append", f"with {LOG_SQL} select id, run_status, records_inserted from l union all select 'r6', 'SUCCESS', 5")
+def run_log_append(spark, sf_dir):
+    return log_rows(spark).select("id", "run_status", "records_inserted").unionByName(spark.createDataFrame([("r6", "SUCCESS", 5)], "id string, run_status string, records_inserted bigint"))
+
+
+@query("run_log_upsert", f"with {LOG_SQL} select id, case id when 'r3' then 'SUCCESS' else run_status end as run_status, case id when 'r3' then 7 else records_inserted end as records_inserted, target_table from l union all select 'r6', 'PENDING', 1, 'v'")
+def run_log_upsert(spark, sf_dir):
+    runs = log_rows(spark).select("id", "run_status", "records_inserted", "target_table")
+    new = spark.createDataFrame([("r3", "SUCCESS", 7, "ignored"), ("r6", runlog.status_name(9), 1, "v")], runs.schema)
+    return apply.keyed_upsert(runs, new, ["id"], ["run_status", "records_inserted"])
+
+
+@query("state_upsert_on_true", "select 'r9' as id, 'SUCCESS' as run_status")
+def state_upsert_on_true(spark, sf_dir):
+    row = spark.createDataFrame([("r9", "SUCCESS")], "id string, run_status string")
+    once = apply.state_upsert(spark.createDataFrame([], row.schema), row.withColumn("id", F.lit("r8")))
+    return apply.state_upsert(once, row)
+
+
+@query("last_run_view", f"with {LOG_SQL} select cdc_table_name, max(id) as id from l group by 1")
+def last_run_view(spark, sf_dir):
+    return runlog.last_state(log_rows(spark).withColumn("insert_timestamp", F.lit(RUN_TS))).select("cdc_table_name", "id")
+
+
+@query("doy_partitions", "select cast(i as int) as day, 'p' || lpad(cast(i as varchar), 3, '0') as partition_name from range(1, 367) t(i) where i >= 350 or i <= 31")
+def doy_partitions(spark, sf_dir):
+    return window.day_of_year_partitions(spark, date(2023, 12, 16), date(2024, 1, 31))
+
+
+@query("pruned_scan", f"with {E1} select op, count(*) as n from e1 where load_ts > timestamp '2024-01-11' and load_ts <= timestamp '2024-01-21' group by op")
+def pruned_scan(spark, sf_dir):
+    log = window.in_window(enveloped(spark, sf_dir), ENDS[0], ENDS[1])
+    return log.groupBy(F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- the whole engine ----------------------------------------------------------------
+
+
+def _engine(spark, sf_dir, base, log=None):
+    from .engine import CdcEngine
+
+    row = {"target_database": "silver", "target_table": "events", "cdc_table": "events_cdc", "source_fp": "raw.events", "pk": "user_id, k", "is_active": 1}
+    cfg = spark.createDataFrame([tuple(row.get(c.split()[0]) for c in conf.SCHEMA.split(", "))], conf.SCHEMA)
+    eng = CdcEngine(spark, base, cfg, {"raw.events": lambda: log if log is not None else feeds.events(spark, sf_dir)}, clock=lambda: RUN_TS)
+    eng.create_target("silver", "events", T.StructType([f for f in TARGET.fields if f.name != "pos"]))
+    return eng
+
+
+def _base(spark) -> str:
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    return f"{shared.rstrip('/')}/engine-{uuid.uuid4().hex}"
+
+
+ENGINE_SQL = windows_sql("upsert").replace("select * from t3", "select user_id, k, event_type, value from t3")
+
+
+@query("engine_runs", ENGINE_SQL)
+def engine_runs(spark, sf_dir):
+    """Three runs through configuration, logs and snapshots, with the watermark at the last upsert."""
+    from .engine import Options
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    eng = _engine(spark, sf_dir, _base(spark))
+    for end in ENDS:
+        eng.run("silver", "events", "events_cdc", Options(watermark_policy="max_upsert_load_ts"), end)
+    return eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc")).read()
+
+
+@query("stream_available_now", windows_sql("upsert", 1).replace("2024-01-11", "2024-02-01").replace("select * from t1", "select user_id, k, event_type, value from t1"))
+def stream_available_now(spark, sf_dir):
+    """The log as files of a stream, by load date in order; each micro-batch is merged into the snapshot."""
+    from ..streaming.available_now import log_stream, run_available
+    from .engine import Options
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = _base(spark)
+    log = feeds.events(spark, sf_dir)
+    for n, (lo, hi) in enumerate(zip([window.EPOCH, *ENDS[:2]], ENDS, strict=True)):
+        window.in_window(log, lo, hi).coalesce(1).write.mode("append").parquet(f"{base}/landing/part={n}")
+    box: dict = {}
+
+    def batch(df, batch_id):
+        s = df.sparkSession
+        eng = _engine(s, sf_dir, base, df.select("data", "load_ts", "load_date"))
+        eng.run("silver", "events", "events_cdc", Options(watermark_policy="max_load_ts"), ENDS[-1], batch=str(batch_id))
+        box["store"] = eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc"))
+
+    run_available(log_stream(spark, f"{base}/landing/*"), batch, f"{base}/checkpoint")
+    return box["store"].read()
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
