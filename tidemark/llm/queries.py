@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, host_rules, mixing, pii, simhash
+from . import embeddings, host_rules, mixing, pieces, pii, quality, simhash, toxicity
 from .store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,20 @@ def op2_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select(table(spark, sf_dir, "documents")).drop("_h")
 
 
+def op4_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = host_rules.HostRules().apply(table(spark, sf_dir, "documents"))
     return got.select("doc_id", *host_rules.COUNTS, "base_failed", "kept")

@@ -29,7 +29,7 @@ _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64): every input bit reaches every output bit."""
-    x = np.asarray(x, _U)
+    x = np.atleast_1d(np.asarray(x, _U))
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
@@ -49,12 +49,15 @@ def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of any byte spans of ``data`` in constant time each (polynomial, modulo 2**64)."""
+    """Hashes of any spans of ``data`` in constant time each (polynomial, modulo 2**64).
 
-    def __init__(self, data: np.ndarray):
+    ``table``: a random value for each symbol; bytes by default.
+    """
+
+    def __init__(self, data: np.ndarray, table: np.ndarray = _BYTE):
         n = len(data)
         self.sums = np.zeros(n + 1, _U)
-        np.cumsum(_BYTE[data] * _power("up", _BASE, n), out=self.sums[1:])
+        np.cumsum(table[data] * _power("up", _BASE, n), out=self.sums[1:])
         self.inverse = _power("down", _BASE_INV, n + 1)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
