@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, host_rules, mixing, pieces, pii, quality, simhash, toxicity
+from . import embeddings, host_rules, mixing, pieces, pii, quality, simhash, suffixes, toxicity
 from .store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select(table(spark, sf_dir, "documents")).drop("_h")
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.counted(suffixes.repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
