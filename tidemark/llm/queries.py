@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, host_rules, mixing, pieces, pii, quality, simhash, suffixes, toxicity
+from . import embeddings, host_rules, mixing, ngrams, pieces, pii, quality, simhash, suffixes, toxicity
 from .store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = host_rules.HostRules().apply(table(spark, sf_dir, "documents"))
     return got.select("doc_id", *host_rules.COUNTS, "base_failed", "kept")
