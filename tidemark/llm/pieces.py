@@ -252,18 +252,19 @@ def model_bytes(path: str = MODEL) -> bytes:
         return f.read()
 
 
-def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int = 42, power: float = 1.0, digest: bool = False) -> DataFrame:
-    """``(key, ids)`` of each whole text; with ``digest`` instead ``(key, n_pieces, ids_md5, decoded_sha256, lossless)``."""
+def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int = 42, power: float = 1.0, digest: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, keep..., ids)`` of each whole text; with ``digest`` instead ``(key, n_pieces, ids_md5, decoded_sha256, lossless)``."""
     arrow_rows(docs.sparkSession)
     proto, name = model_bytes(model), key
-    src = docs.select(F.col(key).alias("key"), F.xxhash64(key).alias("row_seed"), "text")
+    src = docs.select(F.col(key).alias("key"), F.xxhash64(key).alias("row_seed"), "text", *[F.col(c).alias(f"keep_{c}") for c in keep])
 
     def run(batches):
         v = Vocabulary(proto, power)
         for rows, data, offs in chunks(batches, size=BATCH):
             ids, at = encode(v, data, offs, np.asarray(rows.column("row_seed")), seed)
             if not digest:
-                yield pa.RecordBatch.from_arrays([rows.column("key"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))], [name, "ids"])
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([rows.column("key"), *(rows.column(f"keep_{c}") for c in keep), lists], [name, *keep, "ids"])
                 continue
             got, where = decode(v, ids, at)
             raw, out, small = data.tobytes(), got.tobytes(), ids.astype("<i4").tobytes()
@@ -279,7 +280,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    rest = "n_pieces bigint, ids_md5 string, decoded_sha256 string, lossless boolean" if digest else "ids array<int>"
+    rest = "n_pieces bigint, ids_md5 string, decoded_sha256 string, lossless boolean" if digest else ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "ids array<int>"])
     return src.mapInArrow(run, f"`{key}` {kind}, {rest}")
 
 
