@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 KEYS = ["user_id", "k"]
-TARGET = T.StructType.fromDDL("user_id bigint, k bigint, event_type string, value double, pos bigint")
+TARGET = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("k", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("pos", T.LongType())])
 COLS = ["user_id", "k", "event_type", "value", "pos"]
 JOB = conf.JobConfig("silver", "events", "events_cdc", tuple(KEYS), json_key_overrides={"pos": "__source_pos"})
 RUN_TS = datetime(2024, 2, 1)
