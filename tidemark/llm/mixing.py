@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .store import durable
+from .store import durable, fresh
 
 TREE = ("domain", "lang", "source")
 
@@ -137,9 +137,10 @@ def select(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
     """The documents taken, each as often as it was."""
-    got = select(docs, mix, key).groupBy(F.col(key).alias("_k"), "_h").agg(F.max("epochs").alias("_n"))
-    out = docs.join(got, docs[key].eqNullSafe(F.col("_k")) & (F.xxhash64(docs["text"]) == F.col("_h")))
-    return out.withColumn("_e", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select(*[docs[c] for c in docs.columns])
+    k, h, n, e = (fresh(docs, x) for x in ("key_of", "text_hash", "times", "time"))
+    got = select(docs, mix, key).groupBy(F.col(key).alias(k), F.col("_h").alias(h)).agg(F.max("epochs").alias(n))
+    out = docs.join(got, docs[key].eqNullSafe(F.col(k)) & (F.xxhash64(docs["text"]) == F.col(h)))
+    return out.withColumn(e, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n)))).drop(k, h, n, e)
 
 
 ORACLE = r"""

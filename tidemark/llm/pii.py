@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import arrow_rows
+from .store import arrow_rows, fresh
 
 #: English month names.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
@@ -179,11 +179,21 @@ class Pseudonyms:
         return re.sub("[0-9]+", lambda _: next(parts), v.replace(word, month if len(word) > 3 else month[:3]))
 
     def _ip(self, v: str) -> str | None:
-        p = [int(x) for x in v.split(".")]
-        if max(p) > 255:
+        """Permuted among the addresses whose parts have as many digits."""
+        parts = v.split(".")
+        if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts):
             return None
-        n = self.f(int.from_bytes(bytes(p), "big"), 1 << 32, "ip")
-        return ".".join(str(b) for b in n.to_bytes(4, "big"))
+        low, size = (0, 10, 100), (10, 90, 156)
+        n, total = 0, 1
+        for p in parts:
+            k = len(p) - 1
+            n, total = n * size[k] + int(p) - low[k], total * size[k]
+        n = self.f(n, total, "ip" + ".".join(str(len(p)) for p in parts))
+        out = []
+        for p in reversed(parts):
+            n, d = divmod(n, size[len(p) - 1])
+            out.append(str(d + low[len(p) - 1]))
+        return ".".join(reversed(out))
 
     def _ssn(self, v: str) -> str | None:
         a, g, s = map(int, v.split("-"))
@@ -230,9 +240,11 @@ class Pseudonyms:
 def pseudonymise(docs: DataFrame, key: bytes = b"tidemark", text: str = "text", kinds: str | None = "pii_kinds") -> DataFrame:
     """``docs`` with personal values in ``text`` replaced; ``kinds`` (array) lists what was.
 
-    Other columns pass unchanged, whatever their names; ``kinds=None`` leaves that column out.
+    Other columns pass unchanged, whatever their names (a column named as ``kinds`` has
+    the new one called by that name with an underscore); ``kinds=None`` leaves it out.
     """
     arrow_rows(docs.sparkSession)
+    kinds = kinds and fresh(docs, kinds)
     schema = T.StructType([*docs.schema.fields, *([T.StructField(kinds, T.ArrayType(T.StringType()))] if kinds else [])])
 
     def run(batches):

@@ -159,14 +159,14 @@ def _matrix(docs: DataFrame, key: str) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([rows.column(key), pa.ListArray.from_arrays(at, pa.array(x.ravel()))], [key, "x"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, x array<double>").toArrow().sort_by(key).column("x").combine_chunks()
+    got = docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, x array<double>").toArrow().sort_by(key)
     width = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
-    return np.asarray(got.flatten()).reshape(-1, width)
+    return np.asarray(got.combine_chunks().column("x").chunk(0).flatten()).reshape(-1, width) if got.num_rows else np.zeros((0, width))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """From bounded samples, on the driver; the unlabelled ones are of all documents."""
-    p = _matrix(sample(docs, labels, label, {1: positives}, key), key)
+    p = _matrix(sample(docs.select(key, "text"), labels, label, {1: positives}, key), key)
     u = _matrix(thinned(docs.where(F.col(key).isNotNull()), key, unlabelled, 5), key)
     return fit(p, u)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import arrow_rows, durable, with_columns
+from .store import arrow_rows, durable, fresh, with_columns
 from .textbytes import LOWER, chunks, words
 
 BITS = 64
@@ -215,5 +215,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", width: int = 3, radius
 
 def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """One document of each group stays, that with the smallest key; rows with a null key stay."""
-    found = near_duplicates(docs, key, **how).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dup")).distinct()
-    return docs.join(found, docs[key] == F.col("_dup"), "left_anti")
+    dup = fresh(docs, "dup")
+    found = near_duplicates(docs, key, **how).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(dup)).distinct()
+    return docs.join(found, docs[key] == F.col(dup), "left_anti")

@@ -42,3 +42,11 @@ def with_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """The named columns only, found whatever their letter case; extra columns go."""
     have = {c.lower(): c for c in df.columns}
     return df.select(*[df[f"`{have[n.lower()]}`"].alias(n) for n in names])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

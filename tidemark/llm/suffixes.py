@@ -205,9 +205,11 @@ def segments_of(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) ->
 
 
 def _by_uid(uid: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    if not len(uid):
+        return
     by = np.argsort(uid, kind="stable")
     uid, rows = uid[by], rows[by]
-    new = np.flatnonzero(np.append(True, uid[1:] != uid[:-1])) if len(uid) else np.zeros(0, int)
+    new = np.flatnonzero(np.append(True, uid[1:] != uid[:-1]))
     for a, b in zip(new, np.append(new[1:], len(uid)), strict=True):
         yield int(uid[a]), rows[a:b].tobytes()
 

@@ -215,8 +215,10 @@ def _lists(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", bounds: dict[int, int] = BOUNDS) -> Model:
     """From a bounded sample of the training rows, on the driver."""
-    got = _lists(sample(docs, labels, label, bounds, key), [key, "y", "lang"]).toArrow().sort_by(key)
-    lists = got.column("ids").combine_chunks()
+    got = _lists(sample(docs.select(key, "lang", "text"), labels, label, bounds, key), [key, "y", "lang"]).toArrow().sort_by(key)
+    if not got.num_rows:
+        return fit([], np.zeros(0, np.int64), [])
+    lists = got.combine_chunks().column("ids").chunk(0)
     flat, at = np.asarray(lists.flatten()), np.asarray(lists.offsets)
     ids = [flat[a - at[0] : b - at[0]].reshape(-1, 1 + len(PREFIXES)) for a, b in zip(at[:-1], at[1:], strict=True)]
     return fit(ids, np.asarray(got.column("y")).astype(np.int64), [x or "" for x in got.column("lang").to_pylist()])
