@@ -41,7 +41,7 @@ PATTERN = re.compile(
     r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))"
     r"|(?P<card>(?<![0-9])(?:[0-9]{4}(?P<sep>[ -])[0-9]{4}(?P=sep)[0-9]{4}(?P=sep)[0-9]{4}|[0-9]{4}(?P<sep2>[ -])[0-9]{6}(?P=sep2)[0-9]{5}|[0-9]{13,19})(?![0-9]))"
-    r"|(?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
+    r"|(?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|\+[0-9]{1,3}[ .-]?[0-9]{1,2}(?:[ .-]?[0-9]{2}){4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
 )
 #: A text without any of these holds no value.
 HINT = re.compile(r"[0-9@]")
