@@ -166,17 +166,22 @@ class CdcEngine:
             applied = (apply.op_gated if opt.profile != UPSERT else apply.upsert)(old, i, keys, opt.guard_late)
             new = apply.delete_matched(applied, d, keys, opt.guard_late)
             held = max([x for x in (mark, before.watermark and datetime.fromisoformat(before.watermark)) if x], default=None)
-            hit = i.where(F.col("_op") == "u") if opt.profile != UPSERT else i
-            n_in = apply.insert_missing(old, i, keys).count()
-            n_up = old.join(hit.select(*keys), keys, "left_semi").count()
-            n_del = applied.count() - new.count()
-            counts |= {"rows_updated": n_up, "rows_inserted": n_in, "rows_deleted": n_del}
+            counts |= self._rows_changed(old, i, d, keys, opt) if opt.guard_late is None else {}
             s.commit(before, new, touched, watermark=held and held.isoformat(), batch=batch, counts=counts)
             return counts, mark
         finally:
             i.unpersist()
             d.unpersist()
 
+    def _rows_changed(self, old: DataFrame, i: DataFrame, d: DataFrame, keys: list[str], opt: Options) -> dict[str, int]:
+        """Rows that the merge updates, inserts and deletes, from the keys alone in one job."""
+        flag = lambda df, name, *more: df.select(*keys, *more, F.lit(True).alias(name))
+        met = flag(old, "_old").join(flag(i, "_new", "_op"), keys, "full").join(flag(d, "_gone"), keys, "full")
+        had, got, gone = (F.coalesce(F.col(c), F.lit(False)) for c in ("_old", "_new", "_gone"))
+        changes = got & had if opt.profile == UPSERT else got & had & (F.col("_op") == "u")
+        row = met.agg(F.count_if(changes).alias("rows_updated"), F.count_if(got & ~had).alias("rows_inserted"), F.count_if(gone & (had | got)).alias("rows_deleted")).first()
+        return row.asDict()
+
     def _touched(self, s: SnapshotStore, before, i: DataFrame, d: DataFrame, keys: list[str]) -> list[str] | None:
         """Partitions that hold a changed key, or get a row; None: all (no partitioning)."""
         if before.partition is None:
