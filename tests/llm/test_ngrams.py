@@ -29,13 +29,16 @@ def test_trie_file(tmp_path):
     path = tmp_path / "t"
     path.write_bytes(ng.Trie.build(ctx, word, log_p, np.full(len(np.unique(ctx)), -1.0)))
     t = ng.Trie.open(str(path))
-    p, back = t.query(ctx, word)
+    one = np.ones(len(ctx), np.int64)
+    names, runs = np.unique(ctx, return_counts=True)
+    assert all(np.array_equal(a, b) for a, b in zip(t.query(ctx, one, word), t.query(names, runs, word), strict=True))
+    p, back = t.query(names, runs, word)
     assert np.abs(p - log_p).max() < 0.1 and (back == -1).all()
     known = set(pairs)
     other = np.roll(word, 7)
-    p, _ = t.query(ctx, other)
+    p, _ = t.query(ctx, one, other)
     assert (~np.isnan(p) == np.array([(int(a), int(b)) in known for a, b in zip(ctx, other, strict=True)])).all()
-    assert np.isnan(t.query(ctx + np.uint64(1), word)[1]).all()
+    assert np.isnan(t.query(ctx + np.uint64(1), one, word)[1]).all()
 
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

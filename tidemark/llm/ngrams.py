@@ -121,13 +121,14 @@ class EliasFano:
         xl = x & _U((1 << self.low_bits) - 1)
         a = np.where(h > 0, _select(self.high, self.zeros, np.maximum(h - 1, 0), True) - np.maximum(h - 1, 0), 0)
         b = _select(self.high, self.zeros, h, True) - h
-        at = a.copy()
-        live = np.flatnonzero(at < b)
-        while len(live):
-            less = self._low(at[live]) < xl[live]
-            live = live[less]
-            at[live] += 1
-            live = live[at[live] < b[live]]
+        at, end = a, b.copy()
+        live = np.flatnonzero(at < end)
+        while len(live):  # halving: where values crowd, many have the same high bits
+            mid = (at[live] + end[live]) >> 1
+            less = self._low(mid) < xl[live]
+            at[live[less]] = mid[less] + 1
+            end[live[~less]] = mid[~less]
+            live = live[at[live] < end[live]]
         hit = at < b
         hit[hit] = self._low(at[hit]) == xl[hit]
         return at, hit
@@ -196,24 +197,31 @@ class Trie:
 
     @staticmethod
     def open(path: str) -> Trie:
-        return Trie(unpack(np.memmap(path, np.uint8, "r")))
+        return Trie(unpack(np.asarray(np.memmap(path, np.uint8, "r"))))  # a plain view of the mapped file
 
-    def query(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each bigram, nan if it isn't in the trie; log10 back-off weight, nan without the context."""
-        p, back = np.full(len(context), np.nan), np.full(len(context), np.nan)
-        if not self.contexts.n or not len(context):
-            return p, back
+    def query(self, context: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each bigram, nan if it isn't in the trie; log10 back-off weight, nan without the context.
+
+        ``word``: ``runs[i]`` words after ``context[i]``, one context after another.
+        """
+        p, back = np.full(len(word), np.nan), np.full(len(context), np.nan)
+        if not self.contexts.n or not len(word):
+            return p, np.repeat(back, runs)
         rank, known = self.contexts.find(context)
-        k = np.flatnonzero(known)
-        back[k] = self.back_levels[self.back_codes[rank[k]]]
+        c = np.flatnonzero(known)
+        back[c] = self.back_levels[self.back_codes[rank[c]]]
+        lo, hi, base = np.zeros(len(context), np.int64), np.zeros(len(context), np.int64), np.zeros(len(context), _U)
+        lo[c], hi[c] = self.pointers[rank[c]], self.pointers[rank[c] + 1]
+        later = c[lo[c] > 0]
+        base[later] = self.successors[lo[later] - 1]
+        owner = np.repeat(np.arange(len(context)), runs)
+        k = np.flatnonzero(known[owner])
         number, there = self.words.find(word[k])
         k, number = k[there], number[there]
-        lo, hi = self.pointers[rank[k]].astype(np.int64), self.pointers[rank[k] + 1].astype(np.int64)
-        base = np.where(lo > 0, self.successors[np.maximum(lo - 1, 0)], _U(0))
-        at, hit = self.successors.find(base + number.astype(_U) + _U(1))
-        hit &= (at >= lo) & (at < hi)
+        at, hit = self.successors.find(base[owner[k]] + number.astype(_U) + _U(1))
+        hit &= (at >= lo[owner[k]]) & (at < hi[owner[k]])
         p[k[hit]] = self.levels[self.codes[at[hit]]]
-        return p, back
+        return p, np.repeat(back, runs)
 
 
 # --- chunks --------------------------------------------------------------------------
@@ -369,8 +377,8 @@ def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
             f.write(data)
         trie = Trie.open(path)
         out = []
-        for c, w, s, _, k, _ in full:
-            log_p, weight = trie.query(c, w)
+        for (names, runs, *_), (_, w, s, _, k, _) in zip(requests, full, strict=True):
+            log_p, weight = trie.query(names, runs, w)
             # no bigram: back off; a context never seen, or not in this shard, has no weight of its own
             weight = np.where(np.isnan(weight), np.where(s > 0, np.log10(DISCOUNT / np.maximum(s, 1)), 0.0), weight)
             log_p = np.where(np.isnan(log_p), weight - k / STEPS, log_p)
