@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.coerce import epoch, iso_to_utc
+from ..functions.payload import get
+
 
 def _order() -> list[Column]:
     """Newest first by source time and position; load time and payload settle ties."""
@@ -49,6 +52,11 @@ def fused(log: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
     return both.select(*keys, F.explode(rows).alias("x")).select(*keys, "x.kind", "x.v.*")
 
 
+def iso_versions(log: DataFrame) -> DataFrame:
+    """For logs that write the source time as ISO text: its nanoseconds become the version."""
+    return log.withColumn("_ts_ns", F.timestamp_diff("MICROSECOND", epoch(), iso_to_utc(get(F.col("_v"), "__ts_ns", "string"))) * 1000)
+
+
 def null_keys(log: DataFrame, keys: list[str]) -> Column:
     out = F.lit(False)
     for k in keys:

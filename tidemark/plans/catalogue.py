@@ -162,6 +162,15 @@ def arbitrated_deletes(spark, sf_dir):
     return plain(stage.arbitrate(stage.latest_deletes(log, KEYS), stage.latest_upserts(log, KEYS), KEYS)).drop("event_type", "value")
 
 
+@query("latest_by_iso_time", f"with {E1}, {I1} select user_id, k, event_type, value, pos, ts_ns from i1")
+def latest_by_iso_time(spark, sf_dir):
+    """The log writes its source time as ISO text."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    data = F.regexp_replace("data", r'"__ts_ns":\d+', F.concat(F.lit('"__ts_ns":"'), F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit('"')))
+    log = pl.envelope(feeds.events(spark, sf_dir).withColumn("data", data), [("user_id", "user_id", "bigint"), ("k", "k", "bigint")])
+    return plain(stage.latest_upserts(stage.iso_versions(window.in_window(log, window.EPOCH, ENDS[0])), KEYS))
+
+
 @query("fused_latest", f"with {E1}, {I1}, {D1}, {A1} select 'I' as kind, user_id, k, pos, ts_ns from i1 union all select 'D', user_id, k, pos, ts_ns from a1")
 def fused_latest(spark, sf_dir):
     log = window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0])
@@ -400,6 +409,20 @@ def log_table_name(spark, sf_dir):
     return config_rows(spark).select("cdc_table", F.concat(F.lit("last_run_"), first, F.lit("_"), F.substring_index("cdc_table", ".", -1)).alias("log_table"))
 
 
+@query("name_split", f"with {CONFIG_SQL} select cdc_table, split_part(cdc_table, '.', 1) as database, split_part(cdc_table, '.', 2) as table_name, length(pk) as n_chars, strlen(pk) as n_bytes from c")
+def name_split(spark, sf_dir):
+    c = config_rows(spark)
+    return c.select("cdc_table", F.substring_index("cdc_table", ".", 1).alias("database"), F.substring_index("cdc_table", ".", -1).alias("table_name"), F.char_length("pk").cast("bigint").alias("n_chars"), F.octet_length("pk").cast("bigint").alias("n_bytes"))
+
+
+@query("quoted_keys", "select * from (values (1, 'x'), (2, 'y'), (3, null)) as t(id, v)")
+def quoted_keys(spark, sf_dir):
+    """Keys with blanks, dots and quotes are read as they are; letter case counts."""
+    rows = spark.createDataFrame([(1, '{"a b": "x"}', "a b"), (2, '{"a.b": "y"}', "a.b"), (3, '{"A b": "z"}', "a b")], "id int, data string, name string")
+    v = rows.withColumn("_v", pl.parsed(F.col("data")))
+    return v.select("id", F.when(F.col("name") == "a b", pl.scalar_text(F.col("_v"), "a b")).otherwise(pl.scalar_text(F.col("_v"), "a.b")).alias("v"))
+
+
 @query("schema_catalog", "select * from (values ('user_id', 'bigint', 1, true), ('k', 'bigint', 2, true), ('event_type', 'string', 3, false), ('value', 'double', 4, false)) as t(column_name, data_type, ordinal_position, is_key)")
 def schema_catalog(spark, sf_dir):
     rel = sch.as_relation(spark, TARGET, KEYS)
