@@ -26,6 +26,9 @@ from .textbytes import SPACE, Spans, chunks, mix, per_row, within, words
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
+#: Parts that a host's documents are dealt over to meet its verdict.
+PARTS = 64
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -119,12 +122,14 @@ class HostRules:
         counted = durable(text_counts(docs, [key, host]), "host-counts")
         hosts = self.host_table(counted, host)
         worst = F.greatest(*[F.col(f"r_{k}") for k in self.rules], F.lit(0.0))
-        verdict = hosts.select(F.col(host).alias("_host"), worst.alias("host_rate"))
+        # a host's documents are dealt over some parts, and its verdict goes to each of them
+        verdict = hosts.select(F.col(host).alias("_host"), worst.alias("host_rate"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_to"))
+        counted = counted.withColumn("_part", F.pmod(F.xxhash64(key, *COUNTS), F.lit(PARTS)).cast("int"))
         failed = F.lit(False)
         for k in self.base:
             failed = failed | self.rules[k]
-        out = counted.join(verdict, counted[host] == F.col("_host"), "left").withColumn("base_failed", failed)
-        return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= self.max_rate)).drop("_host")
+        out = counted.join(verdict, (counted[host] == F.col("_host")) & (F.col("_part") == F.col("_to")), "left").withColumn("base_failed", failed)
+        return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= self.max_rate)).drop("_host", "_part", "_to")
 
 
 ORACLE = r"""
