@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out
-from .store import arrow_rows, durable
-from .textbytes import LOWER, Spans, chunks, mix, words
+from .store import arrow_rows, durable, shared_dir
+from .textbytes import LOWER, Spans, chunks, mix, release, words
 
 DISCOUNT = 0.75
 #: Tokens of a chunk, and steps of a quantised log10 probability.
-CHUNK_TOKENS, STEPS = 3_000_000, 2000
+CHUNK_TOKENS, STEPS = 1_500_000, 2000
 START, STOP = (mix(np.array([k], np.uint64))[0] for k in (11, 12))
 _U = np.uint64
 _KEY = _U((1 << 48) - 1)
@@ -240,7 +241,7 @@ def _by_shard(shard: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _read(shards: int):
-    """Documents to chunks of tokens, and each chunk's distinct words with their training counts by shard."""
+    """Documents to chunks of tokens, numbered in a vocabulary that is ordered by shard."""
 
     def flush(chunk: int, held: list):
         key, valid, out, count, tokens = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -248,13 +249,7 @@ def _read(shards: int):
         order = np.lexsort((vocab, vocab % _U(shards)))
         back = np.empty(len(order), np.uint32)
         back[order] = np.arange(len(order))
-        vocab, number = vocab[order], back[number]
-        train = np.bincount(number, np.repeat(~out.astype(bool), count), len(vocab)).astype(np.uint32)
-        yield _rows([(TEXTS, chunk, 0, pack(key, valid, out, count, number, vocab))])
-        at = _by_shard((vocab % _U(shards)).astype(np.int64), shards)
-        rows = [(WORDS, chunk, s, pack(vocab[at[s] : at[s + 1]], train[at[s] : at[s + 1]])) for s in range(shards) if at[s + 1] > at[s]]
-        for k in range(0, len(rows), 64):
-            yield _rows(rows[k : k + 64])
+        yield _rows([(TEXTS, chunk, 0, pack(key, valid, out, count, back[number], vocab[order]))])
 
     def run(batches):
         chunk, held, size = TaskContext.get().partitionId() << 24, [], 0
@@ -278,6 +273,22 @@ def _read(shards: int):
     return run
 
 
+def _name(shards: int):
+    """Each chunk's distinct words with their training counts, by shard."""
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                _, _, out, count, number, vocab = unpack(b.column("data")[i].as_buffer())
+                train = np.bincount(number, np.repeat(~out.astype(bool), count), len(vocab)).astype(np.uint32)
+                at = _by_shard((vocab % _U(shards)).astype(np.int64), shards)
+                rows = [(WORDS, b.column("key")[i].as_py(), s, pack(vocab[at[s] : at[s + 1]], train[at[s] : at[s + 1]])) for s in range(shards) if at[s + 1] > at[s]]
+                for k in range(0, len(rows), 64):
+                    yield _rows(rows[k : k + 64])
+
+    return run
+
+
 def _count():
     """Shards of words: each chunk's answer (counts in its order), and the shard's totals."""
 
@@ -345,6 +356,8 @@ def _ask(n: int, v: int, shards: int):
                 c = Chunk(b.column("data")[i].as_buffer(), counts, n, v, shards)
                 for s, data in c.requests():
                     yield _rows([(WORDS, b.column("key")[i].as_py(), s, data)])
+                del c
+        release()
 
     return run
 
@@ -395,6 +408,7 @@ def _answer(shards: int):
             own = [r for r in rows if r[0] == s]
             for (_, chunk, _), codes in zip(own, answer([unpack(r[2]) for r in own], shards), strict=True):
                 yield _rows([(COUNTS, chunk, s, pack(codes))])
+        release()
 
     return run
 
@@ -426,19 +440,22 @@ def scores(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrow_rows(spark)
     src = docs.select(F.col(key).cast("bigint").alias("key"), held_out(key, 7).alias("out"), "text")
-    read = durable(src.mapInArrow(_read(shards), SCHEMA), "lm-chunks")
-    texts = read.where(F.col("kind") == TEXTS).select("key", "data")
+    # chunks are bucketed by their number, so that what comes back to them moves and they don't
+    name = f"tidemark_chunks_{uuid.uuid4().hex}"
+    cut = src.mapInArrow(_read(shards), SCHEMA).select("key", "data")
+    cut.write.option("path", f"{shared_dir(spark)}/tidemark/{name}").option("compression", "zstd").bucketBy(shards, "key").saveAsTable(name)
+    texts = spark.table(name)
     try:
-        arrow_rows(spark, 8)  # rows are chunks, or a chunk's part of a shard
-        counted = durable(read.where(F.col("kind") == WORDS).repartition(shards, "part").mapInArrow(_count(), SCHEMA), "lm-words")
+        arrow_rows(spark, 1)  # rows are chunks, or a chunk's part of a shard
+        counted = durable(texts.mapInArrow(_name(shards), SCHEMA).repartition(shards, "part").mapInArrow(_count(), SCHEMA), "lm-words")
         totals = [unpack(r["data"])[0] for r in counted.where(F.col("kind") == TOTALS).select("data").toLocalIterator()]  # two numbers a shard
         n, v = (int(sum(t[i] for t in totals)) for i in range(2))
         listed = lambda df, name: df.where(F.col("kind") == COUNTS).groupBy("key").agg(F.collect_list(F.struct("part", "data")).alias(name))
         known = texts.join(listed(counted, "counts"), "key")
         asked = known.mapInArrow(_ask(n, v, shards), SCHEMA)
         answered = durable(asked.repartition(shards, "part").mapInArrow(_answer(shards), SCHEMA), "lm-bigrams")
-        arrow_rows(spark, 2)
         done = known.join(listed(answered, "codes"), "key").mapInArrow(_score(n, v, shards, key), f"`{key}` bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
         return durable(done, "lm-scores")
     finally:
         arrow_rows(spark)
+        spark.sql(f"drop table if exists {name}")
