@@ -99,6 +99,7 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float, mean: np.ndarray, scale
     step, size, rate = 0, 512, 0.004
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     batches = max(len(zu) // size, 8)
+    decay = float(np.clip(100 / len(p) ** 2, 1e-4, 0.1))  # few positives say little about each weight
     for _ in range(epochs):
         for _ in range(batches):
             a, b = zp[rng.integers(0, len(zp), min(size, len(zp)))], zu[rng.integers(0, len(zu), min(size, len(zu)))]
@@ -115,8 +116,8 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float, mean: np.ndarray, scale
                 back = np.outer(up, par[2]) * (1 - h * h)
                 for g, add in zip(grads, (x.T @ back, back.sum(0), h.T @ up, np.array([up.sum()])), strict=True):
                     g += add
-            grads[0] += 1e-4 * par[0]
-            grads[2] += 1e-4 * par[2]
+            grads[0] += decay * par[0]
+            grads[2] += decay * par[2]
             step += 1
             for i, g in enumerate(grads):
                 m1[i] = 0.9 * m1[i] + 0.1 * g
