@@ -33,7 +33,8 @@ MARK = 0x2581
 LITERAL_MARK = 0x110000  # a U+2581 of the text itself: no character has this code
 #: Longer units are filtered in logarithms, one at a time.
 SHORT = 32
-BATCH = 1 << 22
+#: Text bytes of a batch: its lattice takes about a hundred times as much memory.
+BATCH = 1 << 20
 
 
 class Vocabulary:
@@ -98,7 +99,7 @@ def _characters(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Character codes with the leading mark of each non-empty row, spaces as marks; row starts."""
     raw = data.tobytes()
     texts = [raw[a:b].decode("utf-8", "surrogateescape") for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-    codes = np.frombuffer("".join(" " + t if t else "" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    codes = np.frombuffer("".join(" " + t if t else "" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
     codes[codes == MARK] = LITERAL_MARK
     codes[codes == 32] = MARK
     return codes, np.concatenate([[0], np.cumsum([len(t) + (t != "") for t in texts])]).astype(np.int64)
