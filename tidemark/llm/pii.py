@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import arrow_rows, fresh
+from .textbytes import release
 
 #: English month names.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
@@ -258,6 +259,7 @@ def pseudonymise(docs: DataFrame, key: bytes = b"tidemark", text: str = "text",
             if kinds:
                 cols, names = [*cols, pa.array([g[1] for g in got], pa.list_(pa.string()))], [*names, kinds]
             yield pa.RecordBatch.from_arrays(cols, names)
+        release()
 
     return docs.mapInArrow(run, schema)
 

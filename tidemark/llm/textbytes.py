@@ -7,6 +7,8 @@ nanoseconds a byte and never create a Python object per word.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,8 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+_libc = ctypes.CDLL(None)  # where it has no malloc_trim, nothing is given back
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -77,6 +81,15 @@ def column(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers are reused, and an idle one should be small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def chunks(batches, text: str = "text", size: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Row slices of about ``size`` text bytes (one longer text is a slice of its own)."""
     for batch in batches:
@@ -86,6 +99,7 @@ def chunks(batches, text: str = "text", size: int = CHUNK) -> Iterator[tuple[pa.
             upto = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
             yield batch.slice(at, upto - at), data[offs[at] : offs[upto]], offs[at : upto + 1] - offs[at]
             at = upto
+    release()
 
 
 def words(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
