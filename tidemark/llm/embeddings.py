@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .simhash import _spanning
-from .store import durable, with_columns
+from .store import durable, ship, with_columns
 
 #: Rows that the centroids are fitted on, at most about twice as many.
 SAMPLE = 16384
@@ -175,6 +175,7 @@ def near_duplicates(
     within 16 and 2048.  Recall against brute force is measured in the tests.
     """
     spark = vectors.sparkSession
+    ship(spark)
     src = with_columns(vectors, [key, vector, label]).toDF("id", "v", "label")
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     sound = F.col("label").isNotNull() & F.col("v").isNotNull() & F.forall("v", number) & F.exists("v", lambda x: x != 0)

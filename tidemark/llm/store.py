@@ -7,8 +7,11 @@ to recompute.  Only where the setting is absent (tests, a laptop) is a folder ma
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, unless their Python finds it by path anyway."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    found = [Path(p or ".").resolve() for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), "."]]
+    if package.parent in found or getattr(sc, "_tidemark_shipped", False):
+        return
+    path = Path(tempfile.mkdtemp(prefix="tidemark-")).resolve() / "tidemark.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._tidemark_shipped = True
+
+
 def arrow_rows(spark: SparkSession, rows: int = 2000) -> None:
-    """Bounds an Arrow batch by rows, so that very long texts don't add up in a worker."""
+    """Before Python runs on the executors: ships the package, and bounds an Arrow batch by
+    rows, so that very long texts don't add up in a worker."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
