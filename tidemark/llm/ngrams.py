@@ -41,7 +41,8 @@ DISCOUNT = 0.75
 CHUNK_TOKENS, STEPS = 1_500_000, 2000
 START, STOP = (mix(np.array([k], np.uint64))[0] for k in (11, 12))
 _U = np.uint64
-_KEY = _U((1 << 48) - 1)
+#: Bits of a word's hash that tell the successors of one context apart.
+_KEY = _U((1 << 40) - 1)
 
 
 # --- Elias-Fano ----------------------------------------------------------------------
@@ -307,6 +308,11 @@ def _count():
     return run
 
 
+def _short(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts as bytes, and those that don't fit."""
+    return np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255].astype(np.uint32)
+
+
 class Chunk:
     """A chunk's tokens with the global counts of its words, and its distinct bigrams in shard order."""
 
@@ -345,7 +351,7 @@ class Chunk:
             first = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
             runs = np.diff(np.append(first, b - a)).astype(np.uint32)
             code = np.minimum(np.rint(-self.word_uni[a:b] * STEPS), 65535).astype(np.uint16)
-            yield s, pack(c[first], runs, self.seen[a:b][first].astype(np.float32), self.hot[a:b][first].astype(np.uint8), (w & _U(0xFFFFFFFF)).astype(np.uint32), (w >> _U(32)).astype(np.uint16), code, self.train[a:b])
+            yield s, pack(c[first], runs, self.seen[a:b][first].astype(np.float32), self.hot[a:b][first].astype(np.uint8), (w & _U(0xFFFFFFFF)).astype(np.uint32), (w >> _U(32)).astype(np.uint8), code, *_short(self.train[a:b]))
 
 
 def _ask(n: int, v: int, shards: int):
@@ -365,7 +371,9 @@ def _ask(n: int, v: int, shards: int):
 def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
     """Builds the trie of the requests' bigrams and looks each of them up: quantised log10 probabilities, in order."""
     full = []
-    for ctx, runs, seen, hot, lo, hi, code, train in requests:
+    for ctx, runs, seen, hot, lo, hi, code, small, large in requests:
+        train = small.astype(np.int64)
+        train[small == 255] = large
         each = np.repeat(np.arange(len(ctx)), runs)
         full.append((ctx[each], lo.astype(_U) | (hi.astype(_U) << _U(32)), seen[each], hot[each], code, train))
     ctx, word, seen, hot, code, train = (np.concatenate(x) for x in zip(*full, strict=True))
