@@ -45,6 +45,30 @@ def test_what_fails_validation_stays(text):
     assert P.text(text) == (text, [])
 
 
+def _valid_iban(plain):
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "PL61 1090 1014 0000 0712 1981 2874", "SE45 5000 0000 0583 9825 7466", "HU42 1177 3016 1111 1018 0000 0000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("after", ["", " BIC", " 2024", " BIC 2024", " A1", " IS PAID", ", BIC", " and"])
+def test_words_after_an_iban(iban, after):
+    new, kinds = P.text(f"to {iban}{after}")
+    got = new[3 : 3 + len(iban)]
+    assert kinds == ["iban"] and got != iban and new == f"to {got}{after}" and _valid_iban(got.replace(" ", ""))
+    assert P.text(f"to {iban}.")[0] == f"to {got}."
+
+
+@pytest.mark.parametrize("text, address", [("_jo.doe@mail.com", "jo.doe@mail.com"), ("--jo@x.com", "jo@x.com"), ("see...jo@x.com", "jo@x.com"), ("%+.jo@x.com,", "jo@x.com")])
+def test_marks_before_an_address(text, address):
+    new, kinds = P.text(text)
+    assert kinds == ["email"] and new == text.replace(address, P.text(address)[0]) and address not in new
+
+
+def test_value_inside_an_invalid_match():
+    new, kinds = P.text("AB12 4111 1111 1111 1111 1111")
+    assert not _valid_iban("AB1241111111111111111111") and kinds == ["card"] and new.startswith("AB12 ") and new.endswith(" 1111") and "4111 1111" not in new
+
+
 def test_other_key_other_pseudonyms():
     assert P.text("10.1.2.3")[0] != pii.Pseudonyms(b"other").text("10.1.2.3")[0]
 

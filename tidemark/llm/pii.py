@@ -8,7 +8,8 @@ document and different values stay different.  A date is permuted as a day, so o
 written in several ways stays one day.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows get equal
-results; a value that fails its validation is no value of that kind and stays.
+results; a value that fails its validation is no value of that kind and stays, and the
+search goes on after its first character.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ _NAMES = "|".join([*MONTHS, *(m[:3] for m in MONTHS if len(m) > 3)])
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))"
+    r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9]))"
     r"|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9]|[./-][0-9]))"
     rf"|(?P<named>(?<![A-Za-z0-9])(?:[0-9]{{1,2}} (?:{_NAMES}),? [0-9]{{4}}|(?:{_NAMES}) [0-9]{{1,2}}, ?[0-9]{{4}})(?![A-Za-z0-9]))"
@@ -44,6 +45,13 @@ PATTERN = re.compile(
     r"|(?P<card>(?<![0-9])(?:[0-9]{4}(?P<sep>[ -])[0-9]{4}(?P=sep)[0-9]{4}(?P=sep)[0-9]{4}|[0-9]{4}(?P<sep2>[ -])[0-9]{6}(?P=sep2)[0-9]{5}|[0-9]{13,19})(?![0-9]))"
     r"|(?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|\+[0-9]{1,3}[ .-]?[0-9]{1,2}(?:[ .-]?[0-9]{2}){4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
 )
+#: Lengths of the countries' IBANs.
+_LENGTHS = (
+    "NO15 BE16 DK18 FI18 FK18 FO18 GL18 NL18 SD18 MK19 SI19 AT20 BA20 EE20 KZ20 LT20 LU20 MN20 XK20 CH21 HR21 LI21 LV21 BG22 BH22 CR22 DE22 GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 "
+    "OM23 SO23 TL23 AD24 CZ24 ES24 MD24 PK24 RO24 SA24 SE24 SK24 TN24 VG24 LY25 PT25 ST25 IS26 TR26 BI27 DJ27 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HN28 HU28 LB28 NI28 "
+    "PL28 SV28 BR29 EG29 PS29 QA29 UA29 JO30 KW30 MU30 MT31 SC31 LC32 RU33"
+)
+IBAN_LENGTH = {x[:2]: int(x[2:]) for x in _LENGTHS.split()}
 #: A text without any of these holds no value.
 HINT = re.compile(r"[0-9@]")
 
@@ -111,6 +119,13 @@ def _iban_check(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def _ibans(v: str) -> list[str]:
+    """What of a match may be the IBAN: its country's length first, then the longest; words may have joined at the end."""
+    cuts = [v, *(v[: m.start()] for m in reversed(list(re.finditer(" ", v))))]
+    size = lambda x: len(x) - x.count(" ")
+    return sorted((x for x in cuts if size(x) >= 15), key=lambda x: size(x) != IBAN_LENGTH.get(v[:2]))
+
+
 def _refill(shape: str, digits: str) -> str:
     """``shape`` with its digits, or for IBANs letters and digits, replaced in order."""
     it = iter(digits)
@@ -228,14 +243,19 @@ class Pseudonyms:
             return text, []
         kinds: list[str] = []
 
-        def one(m: re.Match) -> str:
-            new = self.of(m.lastgroup if m.lastgroup not in ("sep", "sep2") else "card", m[0])
-            if new is None:
-                return m[0]
-            kinds.append("date" if m.lastgroup == "named" else "card" if m.lastgroup.startswith("sep") else m.lastgroup)
-            return new
-
-        return PATTERN.sub(one, text), kinds
+        out, done, at = [], 0, 0
+        while m := PATTERN.search(text, at):
+            kind = m.lastgroup if m.lastgroup not in ("sep", "sep2") else "card"
+            for value in _ibans(m[0]) if kind == "iban" else (m[0],):
+                if (new := self.of(kind, value)) is not None:
+                    break
+            else:  # another value may begin inside
+                at = m.start() + 1
+                continue
+            kinds.append("date" if kind == "named" else kind)
+            out += [text[done : m.start()], new]
+            done = at = m.start() + len(value)
+        return "".join([*out, text[done:]]), kinds
 
 
 def pseudonymise(docs: DataFrame, key: bytes = b"tidemark", text: str = "text", kinds: str | None = "pii_kinds") -> DataFrame:
