@@ -80,6 +80,31 @@ def test_chunks_and_crowded_contexts(spark, monkeypatch):
     check(df, got)
 
 
+@pytest.fixture
+def many_shards(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_many_shards_and_few_successors(spark, many_shards):
+    """Contexts dealt over 200 shards with 20 successors: n(v) is counted over all of them."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"hot w{rng.integers(0, 20)} rare{rng.integers(0, 400)}" for _ in range(30))) for i in range(60)]
+    rows += [(1000 + i, f"hot rare{i} hot unseen{i} w3 w4") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in ng.scores(df).collect()}
+    check(df, got)
+
+
+def test_successors_are_summed_over_shards():
+    u = lambda *x: np.array(x, np.uint64)
+    one = [u(5, 9), np.array([3, 1], np.uint32), np.ones(2, np.float32), np.array([1, 0], np.uint8), np.array([1, 2, 3, 1], np.uint32), np.zeros(4, np.uint8), np.zeros(4, np.uint16), np.array([4, 0, 255, 2], np.uint8), np.array([300], np.uint32)]
+    ctx, kinds = ng.successors([one, one])
+    assert ctx.tolist() == [5] and kinds.tolist() == [2]
+
+
 def test_odd_rows(odd, none):
     got = ng.scores(odd).collect()
     by = {r.doc_id: r for r in got}

@@ -13,8 +13,9 @@ All counts are of all training documents; nothing is pruned.  The corpus is cut
 chunks.  A chunk's distinct words go to shards by hash, which answer with their counts;
 then its distinct bigrams go to shards, each of which builds the trie of its bigrams and
 answers with one quantised log probability a bigram, in the chunk's own order.  Shards
-are chosen by context; those of contexts with more than a small share of all tokens are
-dealt out by bigram, and n(v) then is estimated from the shard's part.
+are chosen by context; those of contexts with more than a small share of all tokens (at
+most 4 a shard) are dealt out by bigram, and n(v) is the sum of the shards' counts, taken
+from the same shuffled requests before the answers are built.
 
 Defined cases: null and empty texts are one end token; a null key is a training row;
 repeated rows count as often as they occur; an empty table gives an empty table.
@@ -368,12 +369,33 @@ def _ask(n: int, v: int, shards: int):
     return run
 
 
-def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
-    """Builds the trie of the requests' bigrams and looks each of them up: quantised log10 probabilities, in order."""
+def _training(small: np.ndarray, large: np.ndarray) -> np.ndarray:
+    train = small.astype(np.int64)
+    train[small == 255] = large
+    return train
+
+
+def successors(requests: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts that are dealt over all shards, and how many different words this shard has seen after each."""
+    pairs = []
+    for ctx, runs, _, hot, lo, hi, _, small, large in requests:
+        each = np.repeat(np.arange(len(ctx)), runs)
+        k = np.flatnonzero((hot[each] > 0) & (small > 0))
+        pairs.append((ctx[each[k]], lo[k].astype(_U) | (hi[k].astype(_U) << _U(32))))
+    ctx, word = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    order = np.lexsort((word, ctx))
+    c, w = ctx[order], word[order]
+    return np.unique(c[np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))[: len(c)]], return_counts=True)
+
+
+def answer(requests: list[list[np.ndarray]], hot_contexts: np.ndarray, hot_kinds: np.ndarray) -> list[np.ndarray]:
+    """Builds the trie of the requests' bigrams and looks each of them up: quantised log10 probabilities, in order.
+
+    ``hot_kinds``: the different successors, in all shards, of each of ``hot_contexts`` (rising).
+    """
     full = []
     for ctx, runs, seen, hot, lo, hi, code, small, large in requests:
-        train = small.astype(np.int64)
-        train[small == 255] = large
+        train = _training(small, large)
         each = np.repeat(np.arange(len(ctx)), runs)
         full.append((ctx[each], lo.astype(_U) | (hi.astype(_U) << _U(32)), seen[each], hot[each], code, train))
     ctx, word, seen, hot, code, train = (np.concatenate(x) for x in zip(*full, strict=True))
@@ -387,7 +409,10 @@ def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
     own = ctx[rep]
     first = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
     kinds = np.diff(np.append(first, len(own)))
-    back = DISCOUNT * kinds * np.where(hot[rep[first]] > 0, shards, 1) / np.maximum(seen[rep[first]], 1)
+    every = kinds.copy()
+    dealt = np.flatnonzero(hot[rep[first]] > 0)
+    every[dealt] = hot_kinds[np.searchsorted(hot_contexts, own[first[dealt]])]
+    back = DISCOUNT * every / np.maximum(seen[rep[first]], 1)
     back = np.minimum(back, 1.0)
     uni = 10.0 ** (-code.astype(np.float64) / STEPS)
     p = np.maximum(count - DISCOUNT, 0) / np.maximum(seen[rep], 1) + np.repeat(back, kinds) * uni[rep]
@@ -400,8 +425,10 @@ def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
         out = []
         for (names, runs, *_), (_, w, s, _, k, _) in zip(requests, full, strict=True):
             log_p, weight = trie.query(names, runs, w)
-            # no bigram: back off; a context never seen, or not in this shard, has no weight of its own
-            weight = np.where(np.isnan(weight), np.where(s > 0, np.log10(DISCOUNT / np.maximum(s, 1)), 0.0), weight)
+            # no bigram: back off; a context never seen has weight 1, one that isn't in this shard's trie was counted in others
+            away = np.flatnonzero(np.isnan(weight) & (s > 0))
+            weight[away] = np.log10(DISCOUNT * hot_kinds[np.searchsorted(hot_contexts, np.repeat(names, runs)[away])] / s[away])
+            weight = np.where(np.isnan(weight), 0.0, weight)
             log_p = np.where(np.isnan(log_p), weight - k / STEPS, log_p)
             out.append(np.clip(np.rint(-log_p * STEPS), 0, 65535).astype(np.uint16))
         return out
@@ -409,12 +436,35 @@ def answer(requests: list[list[np.ndarray]], shards: int) -> list[np.ndarray]:
         os.unlink(path)
 
 
-def _answer(shards: int):
+def _successors(batches):
+    """Rows (context, different successors) of the dealt contexts; a partition may hold several shards."""
+    parts: dict[int, list] = {}
+    for b in batches:
+        for i in range(b.num_rows):
+            ctx, runs, seen, hot, lo, hi, code, small, large = unpack(b.column("data")[i].as_buffer())
+            if hot.any():  # only what is dealt stays in memory
+                k = np.repeat(hot, runs) > 0
+                parts.setdefault(b.column("part")[i].as_py(), []).append([ctx[hot > 0], runs[hot > 0], seen[:0], hot[hot > 0], lo[k], hi[k], code[:0], small[k], large[:0]])
+    for own in parts.values():
+        ctx, kinds = successors(own)
+        yield pa.RecordBatch.from_arrays([pa.array(ctx.view(np.int64)), pa.array(kinds.astype(np.int64))], ["context", "kinds"])
+    release()
+
+
+def _answer():
     def run(batches):
-        rows = [(b.column("part")[i].as_py(), b.column("key")[i].as_py(), b.column("data")[i].as_buffer()) for b in batches for i in range(b.num_rows)]
+        rows, hot = [], None
+        for b in batches:
+            for i in range(b.num_rows):
+                if hot is None:
+                    got = b.column("hot")[i].values
+                    hot = np.asarray(got.field("context")).view(_U), np.asarray(got.field("kinds"))
+                    order = np.argsort(hot[0])
+                    hot = hot[0][order], hot[1][order]
+                rows.append((b.column("part")[i].as_py(), b.column("key")[i].as_py(), b.column("data")[i].as_buffer()))
         for s in sorted({r[0] for r in rows}):
             own = [r for r in rows if r[0] == s]
-            for (_, chunk, _), codes in zip(own, answer([unpack(r[2]) for r in own], shards), strict=True):
+            for (_, chunk, _), codes in zip(own, answer([unpack(r[2]) for r in own], *hot), strict=True):
                 yield _rows([(COUNTS, chunk, s, pack(codes))])
         release()
 
@@ -461,7 +511,11 @@ def scores(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         listed = lambda df, name: df.where(F.col("kind") == COUNTS).groupBy("key").agg(F.collect_list(F.struct("part", "data")).alias(name))
         known = texts.join(listed(counted, "counts"), "key")
         asked = known.mapInArrow(_ask(n, v, shards), SCHEMA)
-        answered = durable(asked.repartition(shards, "part").mapInArrow(_answer(shards), SCHEMA), "lm-bigrams")
+        dealt = asked.repartition(shards, "part")
+        kinds = dealt.mapInArrow(_successors, "context bigint, kinds bigint").groupBy("context").agg(F.sum("kinds").alias("kinds"))
+        # one row of at most 4 contexts a shard; both sides read one shuffle of the requests
+        kinds = kinds.agg(F.collect_list(F.struct("context", "kinds")).alias("hot"))
+        answered = durable(dealt.crossJoin(F.broadcast(kinds)).mapInArrow(_answer(), SCHEMA), "lm-bigrams")
         done = known.join(listed(answered, "codes"), "key").mapInArrow(_score(n, v, shards, key), f"`{key}` bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
         return durable(done, "lm-scores")
     finally:
