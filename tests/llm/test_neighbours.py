@@ -147,6 +147,33 @@ def test_recall_at_the_threshold(spark):
     assert 0.9 * want <= got <= want
 
 
+def test_recall_with_many_cells(spark):
+    """2048 cells, pairs at the threshold: the neighbour's home is often not among the nearest cells."""
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(2500, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=(2500, 64))
+    b -= (b * a).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cos = rng.uniform(0.931, 0.94, 2500)[:, None]
+    both = np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * b]).astype(np.float32)
+    unit = both.astype(float) / np.linalg.norm(both.astype(float), axis=1)[:, None]
+    want = (np.triu(unit @ unit.T, 1) >= 0.93).sum()
+    rows = [(i, v, 0, "", "") for i, v in enumerate(both.tolist())]
+    got = embeddings.near_duplicates(vectors(spark, rows), cells=2048, part=2000).agg({"n_links": "sum"}).first()[0] / 2
+    print("recall", got / want)
+    assert 0.995 * want <= got <= want
+
+
+def test_every_possible_home_is_asked():
+    rng = np.random.default_rng(10)
+    centre = embeddings.fit_centroids(unit := (lambda x: x / np.linalg.norm(x, axis=1)[:, None])(rng.normal(size=(900, 6))), 60)
+    asks = embeddings.possible_cells(unit @ centre.T, embeddings.distances(centre), 0.93)
+    home = np.argmax(unit @ centre.T, axis=1)
+    i, j = np.nonzero(unit @ unit.T >= 0.93)
+    assert asks[i, home[j]].all() and asks.mean() < 0.7
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(7)
     x = rng.normal(size=(400, 64))

@@ -1,16 +1,16 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
 Equal vectors of a label are one class.  Classes are indexed in cells around centroids
-(fitted on a bounded sample); every class lies in its home cell and asks the few cells
-nearest to it.  A stored class keeps, of its residual from the centroid, one sign bit a
+(fitted on a bounded sample); every class lies in its home cell and asks every cell where
+a vector within the threshold's angle can be at home.  A stored class keeps, of its residual from the centroid, one sign bit a
 dimension of a random rotation and three correction factors: the residual's length, the
 code's inner product with the rotated residual, and the vector's product with the
 centroid.  From these the inner product with any other vector is estimated without
 bias, with a confidence bound; only pairs whose upper bound reaches the threshold are
 computed again exactly, in double precision.
 
-A cell that holds many classes is cut into parts of ``part`` rows, and each pair of
-parts is a task of its own; tasks send back sums of links and a spanning star, never
+A label's classes are cut into parts of about ``part`` rows, and each pair of parts is a
+task of its own, where the cells are asked (a label of p parts is sent p times); tasks send back sums of links and a spanning star, never
 pairs.
 
 Defined cases: a null label, a null, empty or zero vector, or one with a null or
@@ -64,15 +64,19 @@ def encode(units: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.
 
 
 def upper_bounds(code, length, product, with_centre, centre, queries, turn, sigmas: float) -> np.ndarray:
-    """Upper confidence bounds of the inner products, stored rows by queries."""
+    """Upper confidence bounds of the inner products, stored rows by queries (unit rows)."""
+    return bounds(code, length, product, with_centre, centre, (queries @ turn.T).astype(np.float32), queries @ centre, turn, sigmas)
+
+
+def bounds(code, length, product, with_centre, centre, turned, asked_centre, turn, sigmas: float) -> np.ndarray:
+    """The same from the unit queries' rotated forms and their products with the centroid."""
     bits = turn.shape[0]
     signs = np.unpackbits(code, axis=1, bitorder="little", count=bits).astype(np.float32) * 2 - 1
-    rest = queries - centre
-    turned = (rest @ turn.T).astype(np.float32)
+    rest = np.sqrt(np.maximum(1 - 2 * asked_centre + centre @ centre, 0))
     g = np.maximum(product, 1e-6)[:, None]
-    estimate = signs @ turned.T / math.sqrt(bits) / g
-    spread = np.sqrt(np.maximum(1 - g * g, 0)) / g * (sigmas / math.sqrt(bits - 1)) * np.linalg.norm(rest, axis=1)[None, :]
-    return (queries @ centre)[None, :] + (with_centre - centre @ centre)[:, None] + length[:, None] * (estimate + spread)
+    estimate = signs @ (turned - (turn @ centre).astype(np.float32)).T / math.sqrt(bits) / g
+    spread = np.sqrt(np.maximum(1 - g * g, 0)) / g * (sigmas / math.sqrt(bits - 1)) * rest[None, :]
+    return asked_centre[None, :] + (with_centre - centre @ centre)[:, None] + length[:, None] * (estimate + spread)
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -80,7 +84,7 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return np.asarray(col.flatten(), np.float64).reshape(len(col), -1)
 
 
-def _index_rows(centres: dict[int, np.ndarray], bits_per_dim: int, probes: int):
+def _index_rows(centres: dict[int, np.ndarray], bits_per_dim: int):
     turns = {d: rotation(d, max(64, bits_per_dim * d)) for d in centres}
 
     def run(batches):
@@ -90,48 +94,94 @@ def _index_rows(centres: dict[int, np.ndarray], bits_per_dim: int, probes: int):
                 part = b.filter(pa.array(dims == d))
                 v = _matrix(part.column("v"))
                 units = v / np.linalg.norm(v, axis=1)[:, None]
-                near = np.argsort(-(units @ centres[d].T), axis=1, kind="stable")[:, :probes].astype(np.int32)
-                code, length, product, own = encode(units, centres[d][near[:, 0]], turns[d])
-                asked = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * near.shape[1]), pa.array(near.ravel()))
+                home = np.argmax(units @ centres[d].T, axis=1).astype(np.int32)
+                code, length, product, own = encode(units, centres[d][home], turns[d])
                 cols = [part.column(c) for c in ("label", "dim", "rep", "n", "v")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(near[:, 0]), asked, pa.array([x.tobytes() for x in code], pa.binary()), pa.array(length), pa.array(product), pa.array(own)], ["label", "dim", "rep", "n", "v", "home", "asks", "code", "length", "product", "own"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(home), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(length), pa.array(product), pa.array(own)], ["label", "dim", "rep", "n", "v", "home", "code", "length", "product", "own"])
 
     return run
 
 
+def possible_cells(products: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
+    """Rows by cells: whether a vector at ``threshold`` or above from the row's can be at home in the cell.
+
+    ``products``: of the unit rows with the centroids; ``apart``: the centroids' distances.  A
+    vector within the angle t of u prefers centroid c to u's own c0 only if
+    u (c0 - c) <= sin(t) |c0 - c|.
+    """
+    home = np.argmax(products, axis=1)
+    reach = math.sqrt(1 - threshold * threshold) if threshold > 0 else math.inf
+    gap = products[np.arange(len(home)), home][:, None] - products
+    return gap <= np.where(apart[home] > 0, reach * apart[home], 0.0) + 1e-9 if math.isfinite(reach) else np.ones(products.shape, bool)
+
+
+def distances(centre: np.ndarray) -> np.ndarray:
+    square = (centre * centre).sum(axis=1)
+    return np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * centre @ centre.T, 0))
+
+
 def _link_rows(centres: dict[int, np.ndarray], bits_per_dim: int, threshold: float, sigmas: float):
     turns = {d: rotation(d, max(64, bits_per_dim * d)) for d in centres}
+    apart: dict[int, np.ndarray] = {}
+
+    class Side:
+        """The rows of one part, and which cells each may ask."""
+
+        def __init__(self, t: pa.Table, d: int):
+            self.rep, self.n, self.home = (np.asarray(t.column(c)) for c in ("rep", "n", "home"))
+            self.v = _matrix(t.column("v"))
+            self.norm = np.linalg.norm(self.v, axis=1)
+            units = self.v / self.norm[:, None]
+            self.stored = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(len(self.v), -1), *(np.asarray(t.column(c)) for c in ("length", "product", "own"))
+            self.turned = (units @ turns[d].T).astype(np.float32)
+            self.products = np.empty((len(units), len(centres[d])))
+            self.asks = np.empty(self.products.shape, bool)
+            for k in range(0, len(units), 512):
+                self.products[k : k + 512] = units[k : k + 512] @ centres[d].T
+                self.asks[k : k + 512] = possible_cells(self.products[k : k + 512], apart[d], threshold)
+
+    def pairs(x: Side, y: Side, d: int, same: bool, ties: bool):
+        """Index pairs (in x, in y) whose exact similarity reaches the threshold; y asks the cells of x below its own, with ``ties`` its own as well."""
+        out = []
+        for c in np.unique(x.home):
+            s = np.flatnonzero(x.home == c)
+            a = np.flatnonzero(y.asks[:, c] & (c < y.home) | (ties & (c == y.home)))
+            if not len(a):
+                continue
+            centre = centres[d][c]
+            for k in range(0, len(s), 1024):
+                r = s[k : k + 1024]
+                bound = bounds(*(f[r] for f in x.stored), centre, y.turned[a], y.products[a, c], turns[d], sigmas)
+                i, j = np.nonzero(bound >= threshold)
+                i, j = r[i], a[j]
+                if same:
+                    once = (y.home[j] != c) | (x.rep[i] < y.rep[j])
+                    i, j = i[once], j[once]
+                cos = np.empty(len(i))
+                for m in range(0, len(i), 65536):
+                    q = slice(m, m + 65536)
+                    cos[q] = np.einsum("ab,ab->a", x.v[i[q]], y.v[j[q]]) / (x.norm[i[q]] * y.norm[j[q]])
+                out.append((x.rep[i], x.n[i], y.rep[j], y.n[j], cos >= threshold))
+        return [tuple(f[o[4]] for f in o[:4]) for o in out]
 
     def group(t: pa.Table):
-        stored = np.asarray(t.column("stored"))
-        x, y = t.filter(pa.array(stored)), t.filter(pa.array(~stored))
-        if not x.num_rows or not y.num_rows:
-            return None
-        d, cell = int(t.column("dim")[0].as_py()), int(t.column("cell")[0].as_py())
-        turn, centre = turns[d], centres[d][cell]
-        vx, vy = _matrix(x.column("v")), _matrix(y.column("v"))
-        lx, ly = np.linalg.norm(vx, axis=1), np.linalg.norm(vy, axis=1)
-        code = np.frombuffer(b"".join(x.column("code").to_pylist()), np.uint8).reshape(len(vx), -1)
-        bound = upper_bounds(code, *(np.asarray(x.column(c)) for c in ("length", "product", "own")), centre, vy / ly[:, None], turn, sigmas)
-        i, j = np.nonzero(bound >= threshold)
-        if not len(i):
+        d, first = int(t.column("dim")[0].as_py()), np.asarray(t.column("first"))
+        if d not in apart:
+            apart[d] = distances(centres[d])
+        if t.column("i")[0].as_py() == t.column("j")[0].as_py():
+            x = Side(t, d)
+            found = pairs(x, x, d, True, True)
+        elif first.all() or not first.any():
             return None
-        rx, ry = np.asarray(x.column("rep")), np.asarray(y.column("rep"))
-        hy = np.asarray(y.column("home"))[j]
-        ax = _matrix_int(x.column("asks"))[i]
-        # each pair counts once: in the lower cell if either asks the other's home
-        once = np.where(hy == cell, rx[i] < ry[j], ~(ax == hy[:, None]).any(axis=1) | (cell < hy))
-        i, j = i[once], j[once]
-        cos = np.empty(len(i))
-        for k in range(0, len(i), 65536):
-            s = slice(k, k + 65536)
-            cos[s] = np.einsum("ab,ab->a", vx[i[s]], vy[j[s]]) / (lx[i[s]] * ly[j[s]])
-        i, j = i[cos >= threshold], j[cos >= threshold]
-        if not len(i):
+        else:
+            x, y = Side(t.filter(pa.array(first)), d), Side(t.filter(pa.array(~first)), d)
+            found = pairs(x, y, d, False, True) + pairs(y, x, d, False, False)
+        if not found or not sum(len(f[0]) for f in found):
             return None
-        ids = np.unique(np.concatenate([rx[i], ry[j]]))
-        a, b = np.searchsorted(ids, rx[i]), np.searchsorted(ids, ry[j])
-        links = np.bincount(a, np.asarray(y.column("n"))[j], len(ids)) + np.bincount(b, np.asarray(x.column("n"))[i], len(ids))
+        rx, nx, ry, ny = (np.concatenate(f) for f in zip(*found, strict=True))
+        ids = np.unique(np.concatenate([rx, ry]))
+        a, b = np.searchsorted(ids, rx), np.searchsorted(ids, ry)
+        links = np.bincount(a, ny, len(ids)) + np.bincount(b, nx, len(ids))
         return ids, np.rint(links).astype(np.int64), ids[_spanning(len(ids), a, b)]
 
     def run(batches):
@@ -150,11 +200,6 @@ def _link_rows(centres: dict[int, np.ndarray], bits_per_dim: int, threshold: flo
     return run
 
 
-def _matrix_int(col) -> np.ndarray:
-    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    return np.asarray(col.flatten()).reshape(len(col), -1)
-
-
 def _ahead(batches):
     held = None
     for b in batches:
@@ -167,7 +212,7 @@ def _ahead(batches):
 
 def near_duplicates(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93,
-    probes: int = 4, bits_per_dim: int = 2, sigmas: float = 4.0, part: int = 512, cells: int | None = None,
+    bits_per_dim: int = 2, sigmas: float = 4.0, part: int = 4096, cells: int | None = None,
 ) -> DataFrame:
     """``(key, n_links, component_id, kept)`` of every row.
 
@@ -196,22 +241,15 @@ def near_duplicates(
     links = spark.createDataFrame([], "id bigint, links bigint, low bigint")
     if centres:
         label_type = src.schema["label"].dataType.simpleString()
-        schema = f"label {label_type}, dim int, rep bigint, n bigint, v array<double>, home int, asks array<int>, code binary, length double, product double, own double"
-        index = found.select("label", "dim", "rep", "n", F.col("v").cast("array<double>").alias("v")).mapInArrow(_index_rows(centres, bits_per_dim, probes), schema)
+        schema = f"label {label_type}, dim int, rep bigint, n bigint, v array<double>, home int, code binary, length double, product double, own double"
+        index = found.select("label", "dim", "rep", "n", F.col("v").cast("array<double>").alias("v")).mapInArrow(_index_rows(centres, bits_per_dim), schema)
         index = durable(index.withColumn("v", F.col("v").cast("array<float>")) if vectors.schema[vector].dataType.simpleString() == "array<float>" else index, "vector-index")
-        here = ["label", "dim", "cell"]
-        stored = index.withColumn("cell", F.col("home"))
-        asking = index.withColumn("cell", F.explode("asks"))
-        size = stored.groupBy(*here).agg(F.ceil(F.count(F.lit(1)) / part).alias("ps")).join(asking.groupBy(*here).agg(F.ceil(F.count(F.lit(1)) / part).alias("pa")), here)
-        part_of = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
-        every_part = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-        cols = ["dim", "cell", "rep", "n", "v", "home", "asks", "code", "length", "product", "own"]
-        left = stored.join(size, here).withColumn("i", part_of("ps")).withColumn("j", every_part("pa"))
-        right = asking.join(size, here).withColumn("j", part_of("pa")).withColumn("i", every_part("ps"))
-        task = F.xxhash64(*here, "i", "j").alias("task")
-        left = left.select(task, F.lit(True).alias("stored"), *cols)
-        right = right.select(task, F.lit(False).alias("stored"), *cols[:-4], F.lit(None).cast("binary").alias("code"), *[F.lit(0.0).alias(c) for c in ("length", "product", "own")])
-        tasks = left.unionByName(right).repartition("task").sortWithinPartitions("task")
+        here = ["label", "dim"]
+        size = index.groupBy(*here).agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+        met = index.join(size, here).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        both = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))
+        met = met.withColumn("p", F.explode(both)).select(F.xxhash64(*here, "p.i", "p.j").alias("task"), "p.i", "p.j", (F.col("mine") == F.col("p.i")).alias("first"), "dim", "rep", "n", "v", "home", "code", "length", "product", "own")
+        tasks = met.repartition("task").sortWithinPartitions("task")
         links = durable(tasks.mapInArrow(_link_rows(centres, bits_per_dim, threshold, sigmas), "id bigint, links bigint, low bigint"), "vector-links")
     degree = links.groupBy(F.col("id").alias("_id")).agg(F.sum("links").alias("links"))
     comp = components(links.select(F.col("id").alias("a"), F.col("low").alias("b")))
