@@ -217,7 +217,7 @@ def near_duplicates(
     """``(key, n_links, component_id, kept)`` of every row.
 
     ``cells``: centroids a vector length; by default half the square root of the rows,
-    within 16 and 2048.  Recall against brute force is measured in the tests.
+    within 16 and 2048.  Recall against brute force is measured in the tests, also with 2048.
     """
     spark = vectors.sparkSession
     ship(spark)
