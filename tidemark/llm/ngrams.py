@@ -513,7 +513,7 @@ def scores(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         asked = known.mapInArrow(_ask(n, v, shards), SCHEMA)
         dealt = asked.repartition(shards, "part")
         kinds = dealt.mapInArrow(_successors, "context bigint, kinds bigint").groupBy("context").agg(F.sum("kinds").alias("kinds"))
-        # one row of at most 4 contexts a shard; both sides read one shuffle of the requests
+        # one row of at most 4 contexts a shard; both sides have the same exchange, for Spark to reuse
         kinds = kinds.agg(F.collect_list(F.struct("context", "kinds")).alias("hot"))
         answered = durable(dealt.crossJoin(F.broadcast(kinds)).mapInArrow(_answer(), SCHEMA), "lm-bigrams")
         done = known.join(listed(answered, "codes"), "key").mapInArrow(_score(n, v, shards, key), f"`{key}` bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
