@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import durable
+from .store import discard, durable
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         pairs = large.join(low.withColumnRenamed("a", "n"), large["a"] == F.col("n"))
         small = pairs.select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b")
-        now = durable(small.distinct(), "small-star")
+        past, now = now, durable(small.distinct(), "small-star")
+        discard(past, large)
         mark = seen(now)
         if mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

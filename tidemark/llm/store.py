@@ -17,19 +17,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """This application's folder in the shared one; it goes when the application ends."""
+    sc = spark.sparkContext
+    got = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not got:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         got = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", got)
-    return got.rstrip("/")
+    path = f"{got.rstrip('/')}/tidemark/{sc.applicationId}"
+    if getattr(sc, "_tidemark_dir", None) != path:
+        fs, p = _file(spark, path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        sc._tidemark_dir = path
+    return path
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back: evaluated once, lineage cut."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._tidemark_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what ``durable`` wrote, once nothing reads it any more."""
+    for df in tables:
+        fs, p = _file(df.sparkSession, df._tidemark_path)
+        fs.delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
