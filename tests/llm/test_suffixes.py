@@ -35,8 +35,8 @@ def brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("crowd", [256, 3])
-def test_against_brute_force(spark, crowd):
+@pytest.mark.parametrize("array_bytes", [sx.ARRAY_BYTES, 1000, 200, 1])
+def test_against_brute_force(spark, array_bytes):
     rng = np.random.default_rng(3)
     passage = "the quick brown fox jumps over the lazy dog while é ü rain falls on plain streets. "
     texts = []
@@ -46,7 +46,7 @@ def test_against_brute_force(spark, crowd):
         texts.append(t * (2 if i % 7 == 0 else 1))
     texts += [None, "", texts[0], texts[0], "ab" * 3000]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    got = {r.doc_id: r for r in sx.repeats(df, length=24, anchor=8, crowd=crowd).collect()}
+    got = {r.doc_id: r for r in sx.repeats(df, length=24, anchor=8, array_bytes=array_bytes).collect()}
     raw = [(t or "").encode() for t in texts]
     for i, (t, gone) in enumerate(zip(raw, brute(raw, 24), strict=True)):
         mine = np.zeros(len(t), bool)

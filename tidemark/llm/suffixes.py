@@ -6,13 +6,17 @@ suffix follows, within its bucket, the order of its successor.  Common prefixes
 neighbours in the array then show every string of ``length`` bytes that starts twice.
 
 Distribution: a window of ``length`` bytes belongs to the smallest hash (the anchor)
-among its strings of ``anchor`` bytes.  Equal windows have equal anchors, so a document
-is cut into segments of consecutive windows with one anchor, and only segments that
-share an anchor are compared.  Segments that are equal as a whole are summed before the
-shuffle and are one entry of the array; only segments whose anchor occurs with other
-neighbours are sent as text.  An anchor with more than ``crowd`` different segments (the
-edges of a very common passage) is too much for one task; its windows are compared by
-their hashes, dealt out by hash, so that no group of documents meets in one task.
+among its strings of ``anchor`` bytes.  Equal windows have equal anchors at equal places,
+so a document is cut into segments of consecutive windows with one anchor, and only
+segments that share an anchor are compared.  Segments equal as a whole (by the hashes of
+anchor and content, 128 bits) are one entry of the array, and occur twice; where an anchor
+comes with different contents, one text of each is sent, and the anchor's texts are
+searched in one array.  An anchor whose texts are more than ``array_bytes`` (the edges of
+a very common passage) is split exactly, in ``STEPS``: windows can only be equal if the
+anchor has the same offset in them, so segments are cut into ranges of offsets, and a
+range's key has the bytes that all of its windows share.  Keys get longer as ranges get
+shorter; a range of one offset has its whole window as key, so nothing stays too large.
+All rows are one a segment, so they grow with the input.
 
 Defined cases: null and empty texts, and texts shorter than ``length``, lose nothing;
 matches never cross documents; repeated rows are occurrences of their text like any
@@ -22,7 +26,6 @@ other; rows are told apart by a hash of key and text.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_rows, durable
-from .textbytes import Spans, chunks, column, mix
+from .textbytes import Spans, chunks, column, mix, release
 
-LENGTH, ANCHOR, CROWD = 200, 64, 256
+LENGTH, ANCHOR = 200, 64
+#: Offsets of a range, where an anchor's texts don't fit one array.
+STEPS = (16, 1)
 #: Positions of one slice: they share a word with 40 bits of hash.
 SLICE = 1 << 23
-#: Text of one suffix array, and segments held before they are sent.
-ARRAY_BYTES, HELD = 1 << 21, 1 << 20
+#: Text of one suffix array.
+ARRAY_BYTES = 1 << 21
 #: Never part of UTF-8.
 END = 0xFF
 
-_ENTRY = np.dtype([("anchor", "<u8"), ("content", "<u8"), ("uid", "<i8"), ("start", "<i4"), ("windows", "<u2"), ("many", "u1")])
-_WANT = np.dtype([("anchor", "<u8"), ("start", "<i4"), ("windows", "<u2"), ("flags", "u1")])
-_MARK = np.dtype([("start", "<i4"), ("windows", "<i4")])
-_HASHED = np.dtype([("hash", "<u8"), ("uid", "<i8"), ("start", "<i4"), ("need", "u1")])
-NEED, CROWDED = 1, 2
+ENTRY = "key bigint, content bigint, uid bigint, start int, windows int, at int"
+MARK = "uid bigint, start int, windows int"
 
 
 # --- suffix arrays -------------------------------------------------------------------
@@ -163,14 +165,14 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Row, start in the row, number of windows, anchor and content hash of each segment."""
+    """Row, start in the row, number of windows, anchor and content hash, and the anchor's place of each segment."""
     if len(data) > SLICE:  # one very long text (or few): slices that overlap by a window
         parts = []
         for at in range(0, len(data), SLICE):
             upto = min(len(data), at + SLICE + length - 1)
             inner = np.clip(offs, at, upto) - at
-            row, start, count, a, c = segments_of(data[at:upto], inner, length, anchor)
-            parts.append((row, start + np.maximum(at - offs[:-1], 0)[row], count, a, c))
+            row, start, *rest = segments_of(data[at:upto], inner, length, anchor)
+            parts.append((row, start + np.maximum(at - offs[:-1], 0)[row], *rest))
             if upto == len(data):
                 break
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -181,7 +183,7 @@ def segments_of(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) ->
     none = np.zeros(0, np.int64)
     n = len(data)
     if n < length:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     spans = Spans(data)
     at = np.arange(n - anchor + 1)
     kh = spans(at, at + anchor)
@@ -194,260 +196,194 @@ def segments_of(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) ->
     np.add.at(inside, offs[fit] + size[fit] - length + 1, -1)
     s = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
     if not len(s):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     where = (least[s] & low).astype(np.int64)
     row = np.searchsorted(offs, s, "right") - 1
     first = np.flatnonzero(np.append(True, (where[1:] != where[:-1]) | (row[1:] != row[:-1])))
     count = np.diff(np.append(first, len(s)))
     start, x, row = s[first], where[first], row[first]
     content = mix(spans(start, start + count - 1 + length) + (x - start).astype(np.uint64))
-    return row, start - offs[row], count, kh[x], content
+    return row, start - offs[row], count, kh[x], content, x - start
 
 
-def _by_uid(uid: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    if not len(uid):
-        return
-    by = np.argsort(uid, kind="stable")
-    uid, rows = uid[by], rows[by]
-    new = np.flatnonzero(np.append(True, uid[1:] != uid[:-1]))
-    for a, b in zip(new, np.append(new[1:], len(uid)), strict=True):
-        yield int(uid[a]), rows[a:b].tobytes()
+def _table(schema: str, *cols: np.ndarray) -> pa.RecordBatch:
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+    wide = [c.endswith("bigint") for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64) if w else c.astype(np.int32)) for c, w in zip(cols, wide, strict=True)], names)
 
 
-def _table(kind: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["kind", "key", "data"])
-
-
-SCHEMA = "kind int, key bigint, data binary"
-#: Kinds of rows: entries of a shard, marks of a document, wanted segments of a document, hashed windows of a shard.
-ENTRIES, MARKS, WANTS, HASHES, TEXT = range(5)
-
-
-def _marks(uid: np.ndarray, start: np.ndarray, windows: np.ndarray) -> pa.RecordBatch:
-    rows = np.empty(len(uid), _MARK)
-    rows["start"], rows["windows"] = start, windows
-    return _table(MARKS, list(_by_uid(uid, rows)))
-
-
-def _same(*cols: np.ndarray) -> np.ndarray:
-    """True where sorted rows equal the row before."""
-    out = np.zeros(len(cols[0]), bool)
-    if len(out):
-        out[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in cols])
-    return out
-
-
-def _cut(shards: int, length: int, anchor: int):
-    """Documents to entries by shard; segments that repeat within the task are marked here and sent once."""
-
-    def flush(held: list[np.ndarray]):
-        e = np.concatenate(held)
-        e = e[np.lexsort((e["content"], e["anchor"]))]
-        same = _same(e["anchor"], e["content"])
-        group = np.cumsum(~same) - 1
-        many = np.bincount(group)[group] > 1
-        e["many"] = many
-        if many.any():
-            yield _marks(e["uid"][many], e["start"][many], e["windows"][many])
-        e = e[~same]
-        shard = (e["anchor"] % np.uint64(shards)).astype(np.int64)
-        yield _table(ENTRIES, list(_by_uid(shard, e)))
+def _cut(length: int, anchor: int):
+    """Documents to the segments of their windows."""
 
     def run(batches):
-        held, count = [], 0
         for rows, data, offs in chunks(batches):
-            row, start, windows, a, c = segments(data, offs, length, anchor)
-            e = np.empty(len(row), _ENTRY)
-            e["anchor"], e["content"], e["uid"], e["start"], e["windows"], e["many"] = a, c, np.asarray(rows.column("uid"))[row], start, windows, 0
-            held.append(e)
-            count += len(e)
-            if count >= HELD:
-                yield from flush(held)
-                held, count = [], 0
-        if count:
-            yield from flush(held)
+            row, start, windows, a, c, at = segments(data, offs, length, anchor)
+            yield _table(ENTRY, a, c, np.asarray(rows.column("uid"))[row], start, windows, at)
 
     return run
 
 
-def _meet(crowd: int):
-    """Entries of whole shards to marks and wanted segments; marks pass through."""
+def _listed(rows: pa.RecordBatch, offs: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The row of each listed segment, and its fields."""
+    lists = rows.column("wants")
+    ends = np.asarray(lists.offsets).astype(np.int64)
+    flat = lists.flatten()
+    row = np.repeat(np.arange(rows.num_rows), np.diff(ends))
+    return row, {f.name: np.asarray(flat.field(f.name)) for f in flat.type}
+
+
+def pieces(data: np.ndarray, offs: np.ndarray, row: np.ndarray, seg: dict[str, np.ndarray], step: int, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Segments cut where the anchor's offset in a window passes a multiple of ``step``: key, content, segment, start, windows, at."""
+    at, windows = seg["at"].astype(np.int64), seg["windows"].astype(np.int64)
+    high = at // step
+    number = high - (at - windows + 1) // step + 1
+    of = np.repeat(np.arange(len(at)), number)
+    turn = np.arange(number.sum()) - (np.cumsum(number) - number)[of]
+    low = (high[of] - turn) * step  # the least offset of the range
+    top = np.minimum(low + step - 1, length - anchor)
+    first, last = np.maximum(at[of] - low - step + 1, 0), np.minimum(windows[of] - 1, at[of] - low)
+    spans = Spans(data)
+    x = (offs[row] + seg["start"] + at)[of]
+    core = spans(x - low, x - top + length)
+    begin = (offs[row] + seg["start"])[of] + first
+    content = mix(spans(begin, begin + (last - first) + length) + (x - begin).astype(np.uint64))
+    key = mix(core ^ mix(seg["key"][of].view(np.uint64) + low.astype(np.uint64)))
+    return key, content, of, seg["start"][of] + first, last - first + 1, at[of] - first
 
-    def run(batches):
-        held = []
-        for b in batches:
-            kind = np.asarray(b.column("kind"))
-            if (kind == MARKS).any():
-                yield b.filter(pa.array(kind == MARKS))
-            own = b.filter(pa.array(kind == ENTRIES))
-            if own.num_rows:
-                data, _ = column(own.column("data"))
-                held.append(data.view(_ENTRY))
-        if not held:
-            return
-        e = np.concatenate(held)
-        e = e[np.lexsort((e["content"], e["anchor"]))]
-        same = _same(e["anchor"], e["content"])
-        group = np.cumsum(~same) - 1
-        weight = np.bincount(group, e["many"].astype(np.int64) + 1)
-        found = (weight[group] > 1) & (e["many"] == 0)
-        if found.any():
-            yield _marks(e["uid"][found], e["start"][found], e["windows"][found])
-        one = e[~same]
-        by_anchor = np.cumsum(~_same(one["anchor"])) - 1
-        kinds = np.bincount(by_anchor)[by_anchor]
-        want = np.flatnonzero(kinds > 1)
-        rows = np.empty(len(want), _WANT)
-        for c in ("anchor", "start", "windows"):
-            rows[c] = one[c][want]
-        rows["flags"] = NEED * (weight[want] == 1) + CROWDED * (kinds[want] > crowd)
-        out = list(_by_uid(one["uid"][want], rows))
-        for at in range(0, len(out), 10000):
-            yield _table(WANTS, out[at : at + 10000])
 
-    return run
+def _split(step: int, length: int, anchor: int):
+    """Texts with segments of crowded keys to the segments' pieces."""
 
+    def run(batches):
+        for rows, data, offs in chunks(batches):
+            row, seg = _listed(rows, offs)
+            key, content, of, *rest = pieces(data, offs, row, seg, step, length, anchor)
+            yield _table(ENTRY, key, content, np.asarray(rows.column("uid"))[row[of]], *rest)
 
-_HEAD = np.dtype([("uid", "<i8"), ("start", "<i4"), ("windows", "<u2"), ("need", "u1")])
+    return run
 
 
-def _fetch(shards: int, length: int):
-    """Texts with their wanted segments to the segments' bytes by anchor, or their windows' hashes by shard."""
+def _fetch(length: int):
+    """Texts with wanted segments to the segments' bytes."""
 
     def run(batches):
         for rows, data, offs in chunks(batches):
-            lists = rows.column("wants")
-            flat, at = column(lists.flatten())
-            want = flat.view(_WANT)
-            ends = at[np.asarray(lists.offsets) - lists.offsets[0].as_py()] // _WANT.itemsize
-            row = np.repeat(np.arange(rows.num_rows), np.diff(ends))
-            uid = np.asarray(rows.column("uid"))[row]
-            start = offs[row] + want["start"]
-            crowded = (want["flags"] & CROWDED) > 0
-            need = (want["flags"] & NEED) > 0
-            plain = np.flatnonzero(~crowded)
-            raw = data.tobytes()
-            head = np.empty(len(plain), _HEAD)
-            head["uid"], head["start"], head["windows"], head["need"] = uid[plain], want["start"][plain], want["windows"][plain], need[plain]
-            if len(plain):
-                texts = [head[i].tobytes() + raw[a : a + n + length - 1] for i, (a, n) in enumerate(zip(start[plain].tolist(), want["windows"][plain].tolist(), strict=True))]
-                yield _table(TEXT, list(zip(want["anchor"][plain].view(np.int64).tolist(), texts, strict=True)))
-            hot = np.flatnonzero(crowded)
-            if len(hot):
-                n = want["windows"][hot].astype(np.int64)
-                each = np.repeat(np.arange(len(hot)), n)
-                off = np.arange(n.sum()) - (np.cumsum(n) - n)[each]
-                s = start[hot][each] + off
-                out = np.empty(len(s), _HASHED)
-                out["hash"], out["uid"], out["start"], out["need"] = Spans(data)(s, s + length), uid[hot][each], want["start"][hot][each] + off, need[hot][each]
-                shard = mix((out["hash"] >> np.uint64(32)) % np.uint64(shards) + np.uint64(1)).view(np.int64)
-                yield _table(HASHES, list(_by_uid(shard, out)))
+            row, seg = _listed(rows, offs)
+            uid, raw = np.asarray(rows.column("uid"))[row], data.tobytes()
+            begin = offs[row] + seg["start"]
+            end = begin + seg["windows"] + length - 1
+            for k in range(0, len(row), 4000):
+                part = slice(k, k + 4000)
+                texts = pa.array([raw[a:b] for a, b in zip(begin[part].tolist(), end[part].tolist(), strict=True)], pa.binary())
+                cols = [pa.array(seg["key"][part]), pa.array(uid[part]), pa.array(seg["start"][part]), pa.array(seg["windows"][part]), texts]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "uid", "start", "windows", "segment"])
 
     return run
 
 
-def _runs(uid: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    """Marks of single windows, neighbours joined."""
-    by = np.lexsort((start, uid))
-    uid, start = uid[by], start[by]
-    first = np.flatnonzero(np.append(True, (uid[1:] != uid[:-1]) | (start[1:] > start[:-1] + 1)))
-    last = np.append(first[1:], len(uid)) - 1
-    return _marks(uid[first], start[first], start[last] - start[first] + 1)
-
+def _compare(length: int, array_bytes: int):
+    """Segments in the order of their key: suffix arrays over whole keys; marks of what repeats."""
 
-def _compare(length: int):
-    """Rows in the order of their key: suffix arrays over segments of whole anchors, counts of hashed windows."""
-
-    def arrays(parts: list[np.ndarray]):
-        head = np.frombuffer(b"".join(p[: _HEAD.itemsize].tobytes() for p in parts), _HEAD)
-        size = np.array([len(p) - _HEAD.itemsize + 1 for p in parts])
-        end = np.array([END], np.uint8)
-        text = np.concatenate([x for p in parts for x in (p[_HEAD.itemsize :], end)])
-        begin = np.cumsum(size) - size
-        windows = head["windows"].astype(np.int64)
-        owner = np.repeat(np.arange(len(parts)), windows)
-        off = np.arange(windows.sum()) - (np.cumsum(windows) - windows)[owner]
+    def close(held: list[tuple]) -> pa.RecordBatch:
+        uid, start, windows = (np.concatenate([h[i] for h in held]) for i in range(3))
+        size = np.concatenate([h[4] for h in held])
+        owner = np.repeat(np.arange(len(size)), size)
+        text = np.full(size.sum() + len(size), END, np.uint8)
+        text[np.arange(len(owner)) + owner] = np.concatenate([h[3] for h in held])
+        begin = np.cumsum(size + 1) - (size + 1)
+        windows = windows.astype(np.int64)
+        of = np.repeat(np.arange(len(size)), windows)
+        off = np.arange(windows.sum()) - (np.cumsum(windows) - windows)[of]
         valid = np.zeros(len(text), bool)
-        valid[begin[owner] + off] = True
-        hit = repeated_starts(text, valid, length)[begin[owner] + off] & (head["need"][owner] > 0)
-        if hit.any():
-            yield _runs(head["uid"][owner[hit]], head["start"][owner[hit]] + off[hit])
-
-    def hashes(parts: list[np.ndarray]):
-        e = np.concatenate([p.view(_HASHED) for p in parts])
-        e = e[np.argsort(e["hash"], kind="stable")]
-        group = np.cumsum(~_same(e["hash"])) - 1
-        weight = np.bincount(group, np.where(e["need"] > 0, 1, 2))[group]
-        hit = (weight > 1) & (e["need"] > 0)
-        if hit.any():
-            yield _runs(e["uid"][hit], e["start"][hit])
+        valid[begin[of] + off] = True
+        hit = repeated_starts(text, valid, length)[begin[of] + off]
+        of, off = of[hit], off[hit]
+        new = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (off[1:] != off[:-1] + 1))[: len(of)])  # runs of neighbours
+        return _table(MARK, uid[of[new]], start[of[new]] + off[new], np.diff(np.append(new, len(of))))
 
     def run(batches):
-        texts, size, tail, tail_key, counted, counted_key = [], 0, [], None, [], None
+        held, size, now = [], 0, None
         for b in batches:
-            data, offs = column(b.column("data"))
-            keys, kinds = b.column("key").to_pylist(), b.column("kind").to_pylist()
-            for i, (key, kind) in enumerate(zip(keys, kinds, strict=True)):
-                part = data[offs[i] : offs[i + 1]]
-                if kind == HASHES:
-                    if counted and key != counted_key:
-                        yield from hashes(counted)
-                        counted = []
-                    counted.append(part)
-                    counted_key = key
-                    continue
-                if key != tail_key:
-                    texts += tail
-                    tail, tail_key = [], key
-                    if size >= ARRAY_BYTES:
-                        yield from arrays(texts)
-                        texts, size = [], 0
-                tail.append(part)
-                size += len(part)
-        if counted:
-            yield from hashes(counted)
-        if texts or tail:
-            yield from arrays(texts + tail)
+            data, offs = column(b.column("segment"))
+            key, *cols = (np.asarray(b.column(c)) for c in ("key", "uid", "start", "windows"))
+            if not len(key):
+                continue
+            edges = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            lo = 0
+            for at in edges.tolist():  # an array closes between two keys only
+                if size + offs[at] - offs[lo] >= array_bytes and (at > 0 or key[0] != now):
+                    held.append((*(c[lo:at] for c in cols), data[offs[lo] : offs[at]], np.diff(offs[lo : at + 1])))
+                    yield close(held)
+                    held, size, lo = [], 0, at
+            held.append((*(c[lo:] for c in cols), data[offs[lo] :], np.diff(offs[lo:])))
+            size, now = size + int(offs[-1] - offs[lo]), key[-1]
+        if held:
+            yield close(held)
+        release()
 
     return run
 
 
-def covered(marks: bytes, length: int) -> np.ndarray:
+def covered(start: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
     """Maximal runs (start, end) that the marked windows cover."""
-    m = np.frombuffer(marks, _MARK)
-    if not len(m):
+    if not len(start):
         return np.zeros((0, 2), np.int64)
-    m = np.sort(m, order="start")
-    start, end = m["start"].astype(np.int64), m["start"].astype(np.int64) + m["windows"] - 1 + length
+    by = np.argsort(start, kind="stable")
+    start = start[by].astype(np.int64)
+    end = start + windows[by] - 1 + length
     upto = np.maximum.accumulate(end)
-    new = np.append(True, start[1:] > upto[:-1])
-    at = np.flatnonzero(new)
-    return np.stack([start[at], upto[np.append(at[1:], len(m)) - 1]], axis=1)
+    at = np.flatnonzero(np.append(True, start[1:] > upto[:-1]))
+    return np.stack([start[at], upto[np.append(at[1:], len(start)) - 1]], axis=1)
+
+
+def _meet(entries: DataFrame, length: int, array_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Entries to marks of what is equal as a whole, and one text of each content of keys with several: ``crowded`` if they are too much for one array."""
+    keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi")).where("n > 1")
+    keys = keys.select(F.col("key").alias("_key"), (F.col("lo") < F.col("hi")).alias("mixed"))
+    shared = durable(entries.join(keys, entries["key"] == F.col("_key")).drop("_key"), "repeat-shared")
+    mixed = shared.where("mixed")
+    one = mixed.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("uid", "start", "windows", "at")])
+    one = durable(one, "repeat-contents")
+    load = one.groupBy("key").agg(F.sum(F.col("windows") + F.lit(length)).alias("load")).where(F.col("load") > array_bytes).select(F.col("key").alias("_key"))
+    twice = one.where("n > 1").select(F.col("key").alias("_key"), F.col("content").alias("_content"))
+    again = mixed.join(twice, (mixed["key"] == F.col("_key")) & (mixed["content"] == F.col("_content")), "left_semi")
+    marks = shared.where("not mixed").unionByName(again).select("uid", "start", "windows")
+    wanted = one.join(load, one["key"] == F.col("_key"), "left").select("key", "uid", "start", "windows", "at", F.col("_key").isNotNull().alias("crowded"))
+    return marks, durable(wanted, "repeat-wanted")
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, anchor: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
+def _with_text(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    lists = wanted.groupBy(F.col("uid").alias("w_uid")).agg(F.collect_list(F.struct("key", "start", "windows", "at")).alias("wants"))
+    return src.select("uid", "text").join(lists, F.col("uid") == F.col("w_uid")).select("uid", "text", "wants")
+
+
+def repeats(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, anchor: int = ANCHOR, array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """``(key, n_bytes, spans, kept_sha256)`` of every row; ``spans``: byte ranges that repeat anywhere."""
     spark = docs.sparkSession
     arrow_rows(spark)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(F.col(key).alias("key"), F.xxhash64(key, "text").alias("uid"), "text")
-    cut = src.select("uid", "text").mapInArrow(_cut(shards, length, anchor), SCHEMA)
-    # marks are already those of documents; they only pass, dealt out with the shards
-    met = durable(cut.repartition(shards, F.when(F.col("kind") == ENTRIES, F.col("key")).otherwise(F.xxhash64("key"))).mapInArrow(_meet(crowd), SCHEMA), "repeat-entries")
-    want = met.where(F.col("kind") == WANTS).groupBy(F.col("key").alias("w_uid")).agg(F.collect_list("data").alias("wants"))
-    texts = src.select("uid", "text").join(want, F.col("uid") == F.col("w_uid")).select("uid", "text", "wants")
-    sent = texts.mapInArrow(_fetch(shards, length), SCHEMA)
-    found = durable(sent.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(length), SCHEMA), "repeat-marks")
-    marks = met.where(F.col("kind") == MARKS).unionByName(found).groupBy(F.col("key").alias("m_uid")).agg(F.collect_list("data").alias("marks"))
+    entries = durable(src.select("uid", "text").mapInArrow(_cut(length, anchor), ENTRY), "repeat-segments")
+    marks = None
+    for step in (*STEPS, 0):
+        equal, wanted = _meet(entries, length, array_bytes)
+        texts = _with_text(src, wanted.where("not crowded")).mapInArrow(_fetch(length), "key bigint, uid bigint, start int, windows int, segment binary")
+        found = durable(texts.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(length, array_bytes), MARK), "repeat-marks")
+        marks = equal.unionByName(found) if marks is None else marks.unionByName(equal).unionByName(found)
+        if wanted.where("crowded").isEmpty():
+            break
+        entries = durable(_with_text(src, wanted.where("crowded")).mapInArrow(_split(step, length, anchor), ENTRY), "repeat-pieces")
+    marks = marks.groupBy(F.col("uid").alias("m_uid")).agg(F.collect_list(F.struct("start", "windows")).alias("wants"))
     name = key
 
     def run(batches):
         for rows, data, offs in chunks(batches):
             raw = data.tobytes()
+            row, mark = _listed(rows, offs)
+            ends = np.searchsorted(row, np.arange(rows.num_rows + 1))
             spans, sums = [], []
-            for i, m in enumerate(rows.column("marks").to_pylist()):
-                text = raw[offs[i] : offs[i + 1]]
-                got = covered(b"".join(m), length).tolist() if m else []
+            for i in range(rows.num_rows):
+                text, own = raw[offs[i] : offs[i + 1]], slice(ends[i], ends[i + 1])
+                got = covered(mark["start"][own], mark["windows"][own], length).tolist()
                 left = text if not got else b"".join(text[a:b] for a, b in zip([0, *(e for _, e in got)], [*(s for s, _ in got), len(text)], strict=True))
                 spans.append([{"start": a, "end": b} for a, b in got])
                 sums.append(hashlib.sha256(left).hexdigest())
@@ -455,7 +391,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, anchor:
             yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(np.diff(offs)), pa.array(spans, kind), pa.array(sums)], [name, "n_bytes", "spans", "kept_sha256"])
 
     kind = docs.schema[key].dataType.simpleString()
-    joined = src.join(marks, F.col("uid") == F.col("m_uid"), "left").select("key", "text", "marks")
+    joined = src.join(marks, F.col("uid") == F.col("m_uid"), "left").select("key", "text", F.coalesce("wants", F.array()).alias("wants"))
     return joined.mapInArrow(run, f"`{key}` {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string")
 
 
