@@ -21,24 +21,27 @@ def test_elias_fano(universe):
         assert (hit == np.isin(q, v)).all() and (at[hit] == np.searchsorted(v, q)[hit]).all()
 
 
-def test_trie_file(tmp_path):
+def test_trie():
+    """Three levels against a dictionary, with contexts that have no successor here."""
     rng = np.random.default_rng(1)
-    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 2**63, 60).repeat(20), rng.integers(0, 2**47, 40)[rng.integers(0, 40, 1200)], strict=True)})
-    ctx, word = (np.array(x, np.uint64) for x in zip(*pairs, strict=True))
-    log_p = -rng.random(len(ctx)) * 5
-    path = tmp_path / "t"
-    path.write_bytes(ng.Trie.build(ctx, word, log_p, np.full(len(np.unique(ctx)), -1.0)))
-    t = ng.Trie.open(str(path))
-    one = np.ones(len(ctx), np.int64)
-    names, runs = np.unique(ctx, return_counts=True)
-    assert all(np.array_equal(a, b) for a, b in zip(t.query(ctx, one, word), t.query(names, runs, word), strict=True))
-    p, back = t.query(names, runs, word)
-    assert np.abs(p - log_p).max() < 0.1 and (back == -1).all()
-    known = set(pairs)
-    other = np.roll(word, 7)
-    p, _ = t.query(ctx, one, other)
-    assert (~np.isnan(p) == np.array([(int(a), int(b)) in known for a, b in zip(ctx, other, strict=True)])).all()
-    assert np.isnan(t.query(ctx + np.uint64(1), one, word)[1]).all()
+    grams = sorted({tuple(int(x) for x in g) for g in rng.integers(0, 40, (3000, 3)) ** 2})
+    pairs = sorted({g[:2] for g in grams} | {(5000, 3), (5000, 4)})
+    first = sorted({p[0] for p in pairs} | {6000})
+    of = lambda big, small_: np.array([small_.index(x) for x in big])
+    codes = [rng.integers(1, 65535, n).astype(np.uint16) for n in (len(first), len(pairs), len(pairs), len(grams))]
+    col = lambda x, i: np.array([y[i] for y in x])
+    t = ng.Trie(np.array(first), of([p[0] for p in pairs], first), col(pairs, 1), of([g[:2] for g in grams], pairs), col(grams, 2), codes)
+    asked = sorted({tuple(int(x) for x in g) for g in rng.integers(0, 42, (4000, 3)) ** 2} | {(5000, 3, 1), (6000, 1, 1), (9999, 1, 1), (5000, 9999, 0)})
+    p, f = sorted({g[:2] for g in asked}), sorted({g[0] for g in asked})
+    got = t.query(np.array(f), of([x[0] for x in p], f), col(p, 1), of([g[:2] for g in asked], p), col(asked, 2))
+    known = [dict(zip(x, c.tolist(), strict=True)) for x, c in zip((first, pairs, pairs, grams), codes, strict=True)]
+    for want, ask, mine in zip(known, (f, p, p, asked), got, strict=True):
+        assert mine.tolist() == [want.get(x, 0) for x in ask]
+
+
+def test_arrays_as_bytes():
+    arrays = [np.arange(5, dtype=np.uint64) << np.uint64(40), np.zeros(0, np.int64), np.array([True, False]), np.arange(300, dtype=np.uint16)]
+    assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(arrays, ng.unpack(ng.pack(*arrays)), strict=True))
 
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,19 +52,28 @@ def check(df, got, key="doc_id"):
     out = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in tok}
     c = collections.Counter(w for i in tok if not out[i] for w in tok[i])
     n, v = sum(c.values()), len(c)
-    b = collections.Counter(p for i in tok if not out[i] for p in zip(["<s>", *tok[i]], tok[i], strict=False))
-    kinds, seen = collections.Counter(p[0] for p in b), collections.Counter(c)
+    train = [i for i in tok if not out[i]]
+    b = collections.Counter(p for i in train for p in zip(["<s>", *tok[i]], tok[i], strict=False))
+    tri = collections.Counter(p for i in train for p in zip(["<s>", *tok[i]], tok[i], tok[i][1:], strict=False))
+    kinds, kinds2, seen = collections.Counter(p[0] for p in b), collections.Counter(p[:2] for p in tri), collections.Counter(c)
     seen["<s>"] = c[None]
+    seen2 = collections.Counter()
+    for p, k in tri.items():
+        seen2[p[:2]] += k
+    part = lambda count, all_, kinds_, p: max(count - ng.DISCOUNT, 0) / all_ + ng.DISCOUNT * kinds_ / all_ * p if all_ else p
     for i, t in tok.items():
         r = got[i]
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)
-        score = 0
-        for a, w in zip(["<s>", *t], t, strict=False):
-            uni = (c[w] + 1) / (n + v + 1)
-            back = min(ng.DISCOUNT * kinds[a] / seen[a], 1) if seen[a] else 1
-            score += math.log10((max(b[a, w] - ng.DISCOUNT, 0) / seen[a] if seen[a] else 0) + back * uni)
+        score, before = 0, "<s>"
+        for k, w in enumerate(t):
+            p = part(b[before, w], seen[before], kinds[before], (c[w] + 1) / (n + v + 1))
+            if k:
+                two = (t[k - 2] if k > 1 else "<s>", before)
+                p = part(tri[*two, w], seen2[two], kinds2[two], p)
+            score += math.log10(p)
+            before = w
         assert abs(r.base_score - base) < 1e-6 * max(1, -base) and (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(t), sum(c[w] > 0 for w in t), n, out[i])
-        assert abs(r.score - score) < 0.06 * len(t)
+        assert abs(r.score - score) <= 1.5 / ng.STEPS * len(t)  # half a step each of a probability and of two weights
     return tok, out
 
 
@@ -72,37 +84,72 @@ def test_against_brute_force(docs, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_chunks_and_crowded_contexts(spark, monkeypatch):
-    """Many words after one: its bigrams are dealt out, its back-off weight is an estimate."""
-    rows = [(i, " ".join(f"hot w{(i * 37 + k) % 900}" for k in range(60))) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r.doc_id: r for r in ng.scores(df).collect()}
-    check(df, got)
-
-
 @pytest.fixture
-def many_shards(spark):
+def partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    yield
+    yield lambda n: spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_many_shards_and_few_successors(spark, many_shards):
-    """Contexts dealt over 200 shards with 20 successors: n(v) is counted over all of them."""
+def crowded(spark):
+    """A word, a pair and a start that are dealt out, in training and held-out texts."""
     rng = np.random.default_rng(8)
-    rows = [(i, " ".join(f"hot w{rng.integers(0, 20)} rare{rng.integers(0, 400)}" for _ in range(30))) for i in range(60)]
-    rows += [(1000 + i, f"hot rare{i} hot unseen{i} w3 w4") for i in range(30)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r.doc_id: r for r in ng.scores(df).collect()}
-    check(df, got)
-
-
-def test_successors_are_summed_over_shards():
-    u = lambda *x: np.array(x, np.uint64)
-    one = [u(5, 9), np.array([3, 1], np.uint32), np.ones(2, np.float32), np.array([1, 0], np.uint8), np.array([1, 2, 3, 1], np.uint32), np.zeros(4, np.uint8), np.zeros(4, np.uint16), np.array([4, 0, 255, 2], np.uint8), np.array([300], np.uint32)]
-    ctx, kinds = ng.successors([one, one])
-    assert ctx.tolist() == [5] and kinds.tolist() == [2]
+    rows = [(i, " ".join(f"hot w{rng.integers(0, 20)} rare{rng.integers(0, 400)} hot pair x{rng.integers(0, 300)}" for _ in range(15))) for i in range(60)]
+    rows += [(1000 + i, f"hot rare{i} hot unseen{i} w3 hot pair new{i} hot pair x{i}") for i in range(30)] + [(2000, "a a a a a a"), (2001, ""), (2002, None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3, "doc_id")
+
+
+def test_crowded_contexts_against_brute_force(spark, partitions):
+    partitions(64)
+    df = crowded(spark)
+    check(df, {r.doc_id: r for r in ng.scores(df).collect()})
+
+
+def test_scores_depend_on_the_corpus_only(spark, docs, partitions):
+    for df in (crowded(spark), docs):
+        first = None
+        for n, shard_tokens, rows in ((2, ng.SHARD_TOKENS, df), (8, 2000, df.repartition(7)), (64, 500, df), (3, 10**9, df.coalesce(1))):
+            partitions(n)
+            got = sorted(tuple(r) for r in ng.scores(rows, shard_tokens=shard_tokens).collect())
+            first = first or got
+            assert got == first
+
+
+def test_shards_with_several_chunks(monkeypatch):
+    """Chunks of a few tokens, merged in one shard, against chunks in one piece."""
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 6, rng.integers(1, 30)) for _ in range(40)]
+
+    def run(sizes, shards):
+        vocab = np.append(ng.mix(np.arange(100, 106, dtype=np.uint64)), ng.STOP)
+        total, at, made = sum(np.bincount(t, minlength=6) for t in texts), 0, []
+        order = np.argsort(vocab)
+        where = np.argsort(order)
+        of = np.append(total, len(texts))[order]
+        for size in sizes:
+            part = texts[at : at + size]
+            at += size
+            token = np.concatenate([where[np.append(t, 6)] for t in part])
+            data = ng.pack(np.arange(size), np.ones(size, np.uint8), np.zeros(size, np.uint8), np.array([len(t) + 1 for t in part]), token, vocab[order])
+            made.append(ng.Chunk(data, [(0, ng.pack(of, np.arange(7, dtype=np.uint64) + 2))], int(of.sum()), 7, shards, vocab[:2]))
+        asked = [dict(c.requests()) for c in made]
+        answers = [[] for _ in made]
+        kinds = {}
+        merged = {}
+        for s in sorted({s for a in asked for s in a}):
+            who = [i for i, a in enumerate(asked) if s in a]
+            requests = [ng.Request(asked[i][s]) for i in who]
+            merged[s] = who, requests, ng.Shard(requests)
+            for a, _, k, _ in merged[s][2].dealt():
+                kinds[a] = kinds.get(a, 0) + k
+        for s, (who, requests, shard) in merged.items():
+            for i, codes in zip(who, shard.answers(requests, shard.trie(kinds, {})), strict=True):
+                answers[i].append((s, codes))
+        return np.concatenate([c.scores(a) for c, a in zip(made, answers, strict=True)])
+
+    want = run([40], 1)
+    for sizes, shards in (([40], 5), ([7] * 5 + [5], 1), ([1] * 40, 9)):
+        assert np.array_equal(run(sizes, shards), want)
 
 
 def test_odd_rows(odd, none):
