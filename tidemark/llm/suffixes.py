@@ -339,7 +339,8 @@ def covered(start: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
 def _meet(entries: DataFrame, length: int, array_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Entries to marks of what is equal as a whole, and one text of each content of keys with several: ``crowded`` if they are too much for one array."""
     keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi")).where("n > 1")
-    keys = keys.select(F.col("key").alias("_key"), (F.col("lo") < F.col("hi")).alias("mixed"))
+    # written, so that the join below reads it through an exchange of its own: then a hot key's side can be split
+    keys = durable(keys.select(F.col("key").alias("_key"), (F.col("lo") < F.col("hi")).alias("mixed")), "repeat-keys")
     shared = durable(entries.join(keys, entries["key"] == F.col("_key")).drop("_key"), "repeat-shared")
     mixed = shared.where("mixed")
     one = mixed.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("uid", "start", "windows", "at")])
