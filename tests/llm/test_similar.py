@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import similar
+from tidemark.llm import simhash, similar
 from tidemark.llm.textbytes import LOWER, column
 from tidemark.llm.simhash import joined_words
 
@@ -76,11 +76,37 @@ def test_tables_find_pairs_at_the_threshold():
     assert (keys[0] == np.roll(keys[1], 1, axis=0)).sum() == 0
 
 
+def test_fingerprints_of_pairs_at_the_threshold_are_within_the_radius():
+    """Sets of 4 to 90 shingles with a similarity of just 0.8; unlike ones are mostly beyond."""
+    rng = np.random.default_rng(6)
+    n = 4000
+    for common, more in ((4, (1, 0)), (8, (1, 1)), (40, (5, 5)), (80, (10, 10))):
+        h = rng.integers(0, 2**64, (n, common), dtype=np.uint64)
+        fps = [simhash.majority(np.concatenate([h, rng.integers(0, 2**64, (n, k), dtype=np.uint64)], axis=1).ravel(), np.full(n, common + k)) for k in more]
+        assert (np.bitwise_count(fps[0] ^ fps[1]) <= similar.RADIUS).mean() >= 0.998
+        assert (np.bitwise_count(fps[0] ^ np.roll(fps[1], 1)) <= similar.RADIUS).mean() < 0.05
+
+
+def test_large_shard_with_chains(spark):
+    """One shard in many parts: most texts near the first, some only near those, some near neither."""
+    rng = np.random.default_rng(7)
+    base = [f"w{x}" for x in rng.integers(0, 900, 120)]
+    texts = [base] + [edited(rng, base, 1) for _ in range(40)]
+    far = base
+    for _ in range(8):
+        far = edited(rng, far, 2)
+        texts += [far, edited(rng, far, 1)]
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for part_rows in (5, 1000):
+        assert {r.doc_id: r.component_id for r in similar.near_duplicates(df, part_rows=part_rows).collect()} == groups(texts)
+
+
 def test_odd_documents(odd, none):
     got = similar.near_duplicates(odd).collect()
     by = {r.doc_id: r.component_id for r in got}
     assert len(got) == 10 and by[1] == by[7] == 1 and by[2] == by[3] == by[4] == 2
-    kept = similar.keep_one(odd)
+    kept = simhash.keep_one(odd, similarity=0.8)
     assert kept.columns == odd.columns and kept.where("doc_id is null").count() == 1 and kept.where("doc_id in (3, 4, 7)").count() == 0
     assert similar.near_duplicates(none).count() == 0
 

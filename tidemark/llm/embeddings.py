@@ -207,7 +207,9 @@ def _link_rows(centres: dict[int, np.ndarray], bits_per_dim: int, threshold: flo
 
         for b in batches:
             task, role = np.asarray(b.column("task")), np.asarray(b.column("role"))
-            edges = np.flatnonzero(np.append(True, (task[1:] != task[:-1]) | ((role[1:] > 0) != (role[:-1] > 0)))) if len(task) else []
+            if not len(task):
+                continue
+            edges = np.flatnonzero(np.append(True, (task[1:] != task[:-1]) | ((role[1:] > 0) != (role[:-1] > 0))))
             for s, e in zip(edges, np.append(edges[1:], len(task)), strict=True):
                 part = b.slice(int(s), int(e - s))
                 if task[s] != now:

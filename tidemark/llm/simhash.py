@@ -12,6 +12,9 @@ of parts becomes a task of its own, so that no group is too large for one task.
 Defined cases: null and empty texts have fingerprint 0, linked like any other; equal
 fingerprints are one tree entry; a null key takes part but is never a component id;
 repeated rows are linked with each other.
+
+``near_duplicates`` links by fingerprint alone.  ``keep_one`` with a ``similarity`` links by
+the similarity of sets of shingles, with fingerprints and trees as its filter (``similar``).
 """
 
 from __future__ import annotations
@@ -58,12 +61,20 @@ def fingerprints(data: np.ndarray, offs: np.ndarray, width: int = 3) -> np.ndarr
         return out
     count = np.bincount(row, minlength=n)
     first = np.cumsum(count) - count
-    rows = np.flatnonzero(count)
     shingles = np.maximum(count - width + 1, (count > 0).astype(np.int64))
     at = np.repeat(first - (np.cumsum(shingles) - shingles), shingles) + np.arange(shingles.sum())
     last = np.minimum(at + width - 1, np.repeat(first + count - 1, shingles))
     raw, digest = text.tobytes(), xxhash.xxh64_intdigest
     h = np.fromiter((digest(raw[a:b], 42) for a, b in zip(s[at].tolist(), e[last].tolist(), strict=True)), np.uint64, len(at))
+    return majority(h, shingles)
+
+
+def majority(h: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Of each row's hashes (``shingles`` of them, row after row) the bits set in over half; 0 without hashes."""
+    out = np.zeros(len(shingles), np.uint64)
+    rows = np.flatnonzero(shingles)
+    if not len(rows):
+        return out
     ends = np.cumsum(shingles[rows])
     votes = np.empty((len(rows), BITS), np.int64)
     # rows whole, some at a time, so that the unpacked bits stay small
@@ -213,8 +224,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", width: int = 3, radius
     return made.join(of, made["fp"] == F.col("_fp")).select(key, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """One document of each group stays, that with the smallest key; rows with a null key stay."""
+def keep_one(docs: DataFrame, key: str = "doc_id", similarity: float | None = None, **how) -> DataFrame:
+    """One document of each group stays, that with the smallest key; rows with a null key stay.
+
+    Without ``similarity``, groups are those of ``near_duplicates``; with it, of texts whose
+    sets of five-word shingles are that similar.
+    """
+    from . import similar
+
     dup = fresh(docs, "dup")
-    found = near_duplicates(docs, key, **how).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(dup)).distinct()
+    got = near_duplicates(docs, key, **how) if similarity is None else similar.near_duplicates(docs, key, similarity, **how)
+    found = got.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(dup)).distinct()
     return docs.join(found, docs[key] == F.col(dup), "left_anti")

@@ -1,17 +1,18 @@
-"""Near-duplicates by the similarity of their sets of five-word shingles.
+"""SimHash near-duplicates confirmed by the similarity of their sets of five-word shingles.
 
 Two texts are linked if the Jaccard similarity of their sets reaches 0.8; texts equal in
-words are one content.  Candidates come from several tables: a table's key has the
-smallest values of the set under some random orders (MinHash), so a pair of similarity s
-shares one of ``tables`` keys of ``rows`` values with probability
-1 - (1 - s**rows)**tables, 0.9998 at 0.8.  A SimHash of 64 bits can't serve here: at 0.8
-a pair differs in about 10 bits, and a radius that takes nearly all such pairs has no
-blocks that tell anything apart.
-
-What hangs together over candidates is brought together once, as text, and every pair
-there is verified with its shingles, so nothing is linked by a table alone.  A group of
-more than ``part_bytes`` of text or ``part_rows`` texts is cut into parts, and each pair
-of parts is a task of its own (a group of p parts is sent p times).
+words are one content.  A content's fingerprint is the SimHash of its set, and BK-trees
+over fingerprints find the pairs within ``RADIUS`` bits, each of which is then verified
+with its shingles, so nothing is linked by a fingerprint alone.  At 0.8 a pair differs in
+9.7 of 64 bits on average (22 or fewer: all but about 4 in a million), other texts in 32.
+
+At that radius no blocks of fingerprint bits tell anything apart, so trees are sharded by
+the sets themselves: a content has ``TABLES`` keys of its smallest shingle hashes under
+random orders, so a pair of similarity s shares one with probability
+1 - (1 - s**ROWS)**TABLES, 0.9998 at 0.8, and what hangs together over keys is a shard.  A
+shard of more than ``part_bytes`` of text or ``part_rows`` texts is cut into parts.  First
+all parts meet the shard's first content; then only contents that aren't linked to it meet
+the others, each of their parts with each part of the shard.
 
 Defined cases: a text of fewer words is one shingle; null, empty and blank texts are one
 content; rows with a null key are no candidates and stay; repeated rows are one content.
@@ -19,6 +20,7 @@ content; rows with a null key are no candidates and stay; repeated rows are one
 
 from __future__ import annotations
 
+import math
 from hashlib import blake2b
 
 import numpy as np
@@ -27,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .simhash import joined_words
-from .store import arrow_rows, durable, fresh, with_columns
+from .simhash import BKTree, joined_words, majority
+from .store import arrow_rows, durable, with_columns
 from .textbytes import LOWER, Spans, chunks, column, mix, release
 
 WIDTH, ROWS, TABLES = 5, 7, 36
+#: Differing bits of a pair that is verified, and pairs that a tree returns at once.
+RADIUS, ASKED = 22, 256
 _U = np.uint64
 
 
@@ -84,46 +88,61 @@ def _describe(key: str):
     return run
 
 
-def linked(hashes: np.ndarray, number: np.ndarray, node: np.ndarray, threshold: tuple[int, int] = (4, 5)) -> np.ndarray:
-    """The group of each set: sets of one node, and those similar enough (``threshold``: a fraction), all pairs compared."""
-    above, below = threshold
+def sets(hashes: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's different hashes, rising, and their number."""
     owner = np.repeat(np.arange(len(number)), number)
     order = np.lexsort((hashes, owner))
     h, owner = hashes[order], owner[order]
     keep = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))[: len(h)]
-    ids = np.unique(h[keep], return_inverse=True)[1]
-    size = np.bincount(owner[keep], minlength=len(number))
+    return h[keep], np.bincount(owner[keep], minlength=len(number))
+
+
+def linked(hashes: np.ndarray, number: np.ndarray, node: np.ndarray, similarity: float = 0.8, radius: int = RADIUS) -> np.ndarray:
+    """The group of each set: sets of one node, and those similar enough; candidates are pairs that a BK-tree finds within the radius."""
+    below = 1000
+    above = math.ceil(similarity * below)
+    h, size = sets(hashes, number)
+    fp = majority(h, size)
+    ids = np.unique(h, return_inverse=True)[1]
     start = np.cumsum(size) - size
     label = np.unique(node, return_inverse=True)[1]
-    by_size = np.argsort(size, kind="stable")
-    sizes = size[by_size]
     mark = np.zeros(len(h), bool)
-    for k, p in enumerate(by_size):
-        if not size[p]:
-            continue
-        near = by_size[k + 1 : np.searchsorted(sizes * above, size[p] * below, "right")]
-        near = near[label[near] != label[p]]
-        if not len(near):
+    own_tree = BKTree(fp)
+    for lo in range(0, len(fp), ASKED):
+        asked, found = own_tree.within(fp[lo : lo + ASKED], radius)
+        asked = asked + lo
+        ahead = (found > asked) & (label[found] != label[asked])
+        asked, found = asked[ahead], found[ahead]
+        fit = np.minimum(size[asked], size[found]) * below >= np.maximum(size[asked], size[found]) * above
+        order = np.argsort(asked[fit], kind="stable")
+        asked, found = asked[fit][order], found[fit][order]
+        if not len(asked):
             continue
-        own = ids[start[p] : start[p] + size[p]]
-        mark[own] = True
-        ends = np.cumsum(size[near])
-        flat = np.repeat(start[near] - (ends - size[near]), size[near]) + np.arange(ends[-1])
-        common = np.add.reduceat(mark[ids[flat]], ends - size[near], dtype=np.int64)
-        mark[own] = False
-        alike = near[common * below >= (size[p] + size[near] - common) * above]
-        if len(alike):
-            label[np.isin(label, label[alike])] = label[p]
+        first = np.flatnonzero(np.append(True, asked[1:] != asked[:-1]))
+        for a, z in zip(first.tolist(), np.append(first[1:], len(asked)).tolist(), strict=True):
+            p, near = asked[a], found[a:z]
+            near = near[(label[near] != label[p]) & (size[near] > 0)]
+            if not len(near) or not size[p]:
+                continue
+            own = ids[start[p] : start[p] + size[p]]
+            mark[own] = True
+            ends = np.cumsum(size[near])
+            flat = np.repeat(start[near] - (ends - size[near]), size[near]) + np.arange(ends[-1])
+            common = np.add.reduceat(mark[ids[flat]], ends - size[near], dtype=np.int64)
+            mark[own] = False
+            alike = near[common * below >= (size[p] + size[near] - common) * above]
+            if len(alike):
+                label[np.isin(label, label[alike])] = label[p]
     return label
 
 
-def _verify(batches):
+def _verify(similarity: float):
     """Rows (task, node, text) in the order of their task; yields a spanning star of each task's links."""
 
     def stars(node, text):
         data, offs = column(text)
         joined, s, e, row = joined_words(LOWER[data], offs)
-        label = linked(*shingles(joined, s, e, row, len(node)), node)
+        label = linked(*shingles(joined, s, e, row, len(node)), node, similarity)
         order = np.lexsort((node, label))
         first = np.flatnonzero(np.append(True, label[order][1:] != label[order][:-1]))
         low = np.repeat(node[order][first], np.diff(np.append(first, len(node))))
@@ -134,24 +153,27 @@ def _verify(batches):
         a, b = stars(np.concatenate([np.asarray(h.column("node")) for h in held]), pa.concat_arrays([h.column("text") for h in held]))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    held, now = [], None
-    for batch in batches:
-        task = np.asarray(batch.column("task"))
-        if not len(task):
-            continue
-        edges = np.flatnonzero(np.append(True, task[1:] != task[:-1])).tolist()
-        for s, e in zip(edges, [*edges[1:], len(task)], strict=True):
-            if now is not None and task[s] != now:
-                yield close(held)
-                held = []
-            now = task[s]
-            held.append(batch.slice(s, e - s))
-    if held:
-        yield close(held)
-    release()
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", part_bytes: int = 4 << 20, part_rows: int = 2000) -> DataFrame:
+    def run(batches):
+        held, now = [], None
+        for batch in batches:
+            task = np.asarray(batch.column("task"))
+            if not len(task):
+                continue
+            edges = np.flatnonzero(np.append(True, task[1:] != task[:-1])).tolist()
+            for s, e in zip(edges, [*edges[1:], len(task)], strict=True):
+                if now is not None and task[s] != now:
+                    yield close(held)
+                    held = []
+                now = task[s]
+                held.append(batch.slice(s, e - s))
+        if held:
+            yield close(held)
+        release()
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", similarity: float = 0.8, part_bytes: int = 4 << 20, part_rows: int = 2000) -> DataFrame:
     """``(key, component_id)`` of every row: the smallest key reachable over verified links."""
     arrow_rows(docs.sparkSession)
     src = with_columns(docs, [key, "text"])
@@ -160,21 +182,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", part_bytes: int = 4 <<
     keyed = contents.where(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key"))
     low = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "_key")
     near = components(keyed.join(low, keyed["key"] == F.col("_key")).select(F.col("node").alias("a"), "b"))
-    near = near.select(F.col("node").alias("_node"), F.col("component").alias("candidates"))
-    sizes = contents.join(near, contents["node"] == F.col("_node")).groupBy(F.col("candidates").alias("_c")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select("_c", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("n") / part_rows), F.lit(1)).cast("int").alias("parts"))
-    met = near.join(sizes, near["candidates"] == F.col("_c")).withColumn("mine", F.pmod(F.xxhash64("_node"), F.col("parts")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))
-    met = met.select("_node", F.col("candidates"), F.explode(pairs).alias("p")).select("_node", F.xxhash64("candidates", "p.i", "p.j").alias("task"))
-    tasks = src.join(met, src[key] == F.col("_node")).select("task", F.col("_node").alias("node"), "text")
-    edges = durable(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_verify, "a bigint, b bigint"), "shingle-links")
-    found = components(edges).withColumnRenamed("node", "_node")
+    near = durable(contents.select("node", "size").join(near.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).select("node", "size", F.col("component").alias("shard")), "shards")
+    cut = lambda df: F.greatest(F.ceil(F.sum("size") / part_bytes), F.ceil(F.count(F.lit(1)) / part_rows), F.lit(1)).cast("int")
+    sizes = durable(near.groupBy("shard").agg(cut(near).alias("parts")), "shard-sizes").withColumnRenamed("shard", "_shard")
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("mine")
+    met = near.join(sizes, near["shard"] == F.col("_shard")).select("node", "size", "shard", "parts", mine)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def verified(tasks: DataFrame, name: str) -> DataFrame:
+        """``tasks(task, node, group)``: the links of each task's texts; those of one group aren't compared."""
+        rows = src.join(tasks.withColumnRenamed("node", "_node"), src[key] == F.col("_node")).select("task", F.col("group").alias("node"), "text")
+        return durable(rows.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(similarity), "a bigint, b bigint"), name)
+
+    task = lambda *c: F.xxhash64("shard", *c).alias("task")
+    whole = met.where("parts = 1").select(task(), "node", F.col("node").alias("group"))
+    large = met.where("parts > 1")
+    first = large.where("node = shard").withColumn("part", each("parts")).select(task("part"), "node", F.col("node").alias("group"))
+    edges = verified(whole.unionByName(large.select(task("mine"), "node", F.col("node").alias("group"))).unionByName(first), "shingle-links")
+    # of large shards: what isn't linked yet to the first content meets every part
+    to_first = components(edges).select(F.col("node").alias("_n"), "component")
+    large = durable(large.join(to_first, large["node"] == F.col("_n"), "left").select("node", "size", "shard", "parts", "mine", F.coalesce("component", "node").alias("group")), "large-shards")
+    rest = large.where("group <> shard")
+    number = rest.groupBy("shard").agg(cut(rest).alias("rest_parts")).withColumnRenamed("shard", "_shard")
+    with_rest = lambda df: df.join(number, df["shard"] == F.col("_shard"))
+    other = with_rest(rest).withColumn("other", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("rest_parts")).cast("int")).withColumn("mine", each("parts"))
+    every = with_rest(large).withColumn("other", each("rest_parts"))
+    more = verified(every.unionByName(other.select(every.columns)).select(task("mine", "other"), "node", "group"), "shingle-links")
+    found = components(edges.unionByName(more)).withColumnRenamed("node", "_node")
     of = contents.join(found, contents["node"] == F.col("_node"), "left").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("component", "node").alias("component_id"))
     return made.join(of, (made["h1"] == F.col("_h1")) & (made["h2"] == F.col("_h2"))).select(key, "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """One document of each group stays, that with the smallest key; rows with a null key stay."""
-    dup = fresh(docs, "dup")
-    found = near_duplicates(docs, key, **how).where(F.col(key) != F.col("component_id")).select(F.col(key).alias(dup)).distinct()
-    return docs.join(found, docs[key] == F.col(dup), "left_anti")
