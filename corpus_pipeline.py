@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, pieces, pii, quality, similar
+from tidemark.llm import mixing, pieces, pii, quality, simhash
 from tidemark.llm.store import durable, table
 
 
@@ -20,7 +20,7 @@ def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the smallest id stays."""
-    return similar.keep_one(docs)
+    return simhash.keep_one(docs, similarity=0.8)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
