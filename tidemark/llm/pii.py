@@ -4,8 +4,14 @@ A value is found by its form, validated (check digits, number ranges, the calend
 mapped by a keyed Feistel permutation of all values of its format: digits stay digits,
 separators and letter case stay, check digits are computed anew.  The permutation
 depends on the key and the kind only, so equal values get equal pseudonyms in every
-document and different values stay different.  A date is permuted as a day, so one day
-written in several ways stays one day.
+document and different values stay different.
+
+A date is permuted as a day, among the days whose parts are as wide and whose day and month
+could be taken for each other just as well, so one day written in several ways stays one
+day, and what is written and how it is read stays as it was.  A phone number is permuted
+behind its country's calling code, however it is grouped; one without a code is North
+American.  Its first digit stays a zero or stays none, and a valid North American number
+stays valid.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows get equal
 results; a value that fails its validation is no value of that kind and stays, and the
@@ -17,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from datetime import date, timedelta
 from functools import lru_cache
 
@@ -52,6 +59,11 @@ _LENGTHS = (
     "PL28 SV28 BR29 EG29 PS29 QA29 UA29 JO30 KW30 MU30 MT31 SC31 LC32 RU33"
 )
 IBAN_LENGTH = {x[:2]: int(x[2:]) for x in _LENGTHS.split()}
+#: Calling codes of one and two digits; all others have three.
+_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+)
+CALLING_CODES = frozenset(_CODES.split())
 #: A text without any of these holds no value.
 HINT = re.compile(r"[0-9@]")
 
@@ -106,6 +118,14 @@ class Feistel:
         return "".join(reversed(out))
 
 
+    def among(self, x: int, n: int, tweak: str, same) -> int:
+        """Permutes the part of 0..n-1 where ``same`` is what it is for ``x``: walks on until it is."""
+        want, x = same(x), self(x, n, tweak)
+        while same(x) != want:
+            x = self(x, n, tweak)
+        return x
+
+
 def luhn_digit(digits: str) -> str:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -140,6 +160,25 @@ def _day(y: int, m: int, d: int) -> date | None:
     return got if FIRST_DAY <= got <= LAST_DAY else None
 
 
+def day_class(d: date) -> tuple[bool, bool, bool]:
+    """What of a day shows in any writing: widths of day and month, and whether the day could be a month."""
+    return d.day > 9, d.day > 12, d.month > 9
+
+
+@lru_cache(1)
+def days_by_class() -> dict[tuple[bool, bool, bool], list[int]]:
+    """The days of the range, as numbers from its first, that may stand for each other."""
+    out: dict[tuple[bool, bool, bool], list[int]] = {}
+    for n in range((LAST_DAY - FIRST_DAY).days + 1):
+        out.setdefault(day_class(FIRST_DAY + timedelta(n)), []).append(n)
+    return out
+
+
+def calling_code(digits: str) -> int:
+    """Digits of the country's code at the beginning of an international number."""
+    return next((n for n in (1, 2) if digits[:n] in CALLING_CODES), 3)
+
+
 class Pseudonyms:
     def __init__(self, key: bytes):
         self.f = Feistel(key)
@@ -164,8 +203,10 @@ class Pseudonyms:
         return _refill(v, plain[:2] + _iban_check(plain[:2], rest) + rest)
 
     def _shift(self, d: date) -> date:
-        n = (LAST_DAY - FIRST_DAY).days + 1
-        return FIRST_DAY + timedelta(self.f((d - FIRST_DAY).days, n, "date"))
+        kind = day_class(d)
+        days = days_by_class()[kind]
+        at = bisect_left(days, (d - FIRST_DAY).days)
+        return FIRST_DAY + timedelta(days[self.f(at, len(days), f"date{kind}")])
 
     def _date(self, v: str) -> str | None:
         p = [int(x) for x in re.split("[-/.]", v)]
@@ -226,16 +267,24 @@ class Pseudonyms:
         if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
             return None
         n = len(digits) - 1
-        new = f"{self.f(int(digits[:-1]), 10**n, f'card{n}'):0{n}d}"
-        return _refill(v, new + luhn_digit(new))
+        whole = lambda x: (own := f"{x:0{n}d}") + luhn_digit(own)
+        new = self.f.among(int(digits[:-1]), 10**n, f"card{n}", lambda x: len(set(whole(x))) == 1)
+        return _refill(v, whole(new))
 
     def _phone(self, v: str) -> str | None:
         digits = re.sub("[^0-9]", "", v)
         if not 8 <= len(digits) <= 15:
             return None
-        code = len(re.match(r"\+([0-9]+)", v)[1]) if v[0] == "+" and re.match(r"\+[0-9]{1,3}[ .(-]", v) else 0
-        own = digits[code:]
-        return _refill(v, digits[:code] + f"{self.f(int(own), 10 ** len(own), f'phone{len(own)}'):0{len(own)}d}")
+        code = calling_code(digits) if v[0] == "+" else 0
+        country, own = digits[:code] or "1", digits[code:]
+        n = len(own)
+
+        def form(x: int) -> tuple[bool, bool]:
+            d = f"{x:0{n}d}"
+            return d[0] == "0", country == "1" and n == 10 and d[0] > "1" and d[3] > "1"
+
+        new = self.f.among(int(own), 10**n, f"phone{country}:{n}", form)
+        return _refill(v, digits[:code] + f"{new:0{n}d}")
 
     def text(self, text: str) -> tuple[str, list[str]]:
         """The text with its values replaced, and their kinds in order."""
