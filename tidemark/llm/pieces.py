@@ -9,16 +9,22 @@ the position in the text: the same row is always cut the same way, wherever it r
 
 No piece crosses two characters that never stand together inside a piece, so texts fall
 apart into short units there without any approximation, and filtering is done once for
-each distinct unit of a batch.  Characters without a piece become byte pieces, and a
+each distinct unit of a batch.  A longer text than a batch is read in slices that end
+between units.  Longer units are cut into blocks that go forward side by side: each block's
+sums are linear in those of the positions before it, so blocks are run for every one of
+these first, joined, and run again.  Memory is a fixed amount a batch, and a few bytes a
+character of a single unit.  Characters without a piece become byte pieces, and a
 literal U+2581 does too, so decoding gives back every text byte for byte.
 
 Defined cases: null and empty texts have no pieces; repeated rows are cut alike; a null
-key seeds like any other value; texts of any length are encoded whole.
+key seeds like any other value; texts of any length are encoded whole, in time that grows
+with their length.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import arrow_rows
-from .textbytes import Spans, chunks, mix
+from .textbytes import _BASE, Spans, chunks, mix
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The vocabulary file, unless the environment or a parameter names another.
+MODEL = os.environ.get("TIDEMARK_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = 0x2581
 LITERAL_MARK = 0x110000  # a U+2581 of the text itself: no character has this code
-#: Longer units are filtered in logarithms, one at a time.
-SHORT = 32
+#: Longer units are filtered in blocks of at least ``BLOCK`` positions, at most about ``BLOCKS`` of them.
+SHORT, BLOCK, BLOCKS = 32, 256, 8192
 #: Text bytes of a batch: its lattice takes about a hundred times as much memory.
 BATCH = 1 << 20
 
@@ -87,6 +94,16 @@ class Vocabulary:
         self.piece_start = np.concatenate([[0], np.cumsum([len(t) for t in self.text_of])])
         self.piece_bytes = np.frombuffer(b"".join(self.text_of), np.uint8)
 
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        """The pieces' bytes one after another, a block of pieces at a time."""
+        out = []
+        for k in range(0, len(ids), 1 << 20):
+            part = ids[k : k + (1 << 20)]
+            size = np.diff(self.piece_start)[part]
+            end = np.cumsum(size)
+            out.append(self.piece_bytes[np.repeat(self.piece_start[:-1][part] - (end - size), size) + np.arange(end[-1])].tobytes())
+        return b"".join(out)
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are pieces, and their rows in ``id`` and ``weight``."""
         near = np.flatnonzero(self.maybe[h & np.uint64((1 << 20) - 1)])
@@ -95,14 +112,27 @@ class Vocabulary:
         return near[hit], at[hit]
 
 
+def _codes(text: str) -> np.ndarray:
+    """Character codes, spaces as marks."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+    codes[codes == MARK] = LITERAL_MARK
+    codes[codes == 32] = MARK
+    return codes
+
+
 def _characters(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Character codes with the leading mark of each non-empty row, spaces as marks; row starts."""
+    """Character codes with the leading mark of each non-empty row; row starts."""
     raw = data.tobytes()
     texts = [raw[a:b].decode("utf-8", "surrogateescape") for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-    codes = np.frombuffer("".join(" " + t if t else "" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
-    codes[codes == MARK] = LITERAL_MARK
-    codes[codes == 32] = MARK
-    return codes, np.concatenate([[0], np.cumsum([len(t) + (t != "") for t in texts])]).astype(np.int64)
+    return _codes("".join(" " + t if t else "" for t in texts)), np.concatenate([[0], np.cumsum([len(t) + (t != "") for t in texts])]).astype(np.int64)
+
+
+def boundaries(v: Vocabulary, chars: np.ndarray) -> np.ndarray:
+    """True where a character can't be in one piece with the one before; the first can't."""
+    inner = v.inner[v.code[chars]]
+    cut = np.ones(len(chars), bool)
+    cut[1:] = ~v.meets[inner[:-1], inner[1:]]
+    return cut
 
 
 def _bytes_of(code: int) -> bytes:
@@ -116,7 +146,7 @@ def _bytes_of(code: int) -> bytes:
 
 
 def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndarray):
-    """Edges of the units that start at ``start``: states, first edge of each, edge lengths, piece rows (-1: bytes), probabilities summed within a state.
+    """Edges of the short units that start at ``start``: states, first edge of each, edge lengths, piece rows (-1: bytes), probabilities summed within a state.
 
     State ``k + i`` is position ``i`` of the unit whose states begin at ``k = cumsum(length)``.
     """
@@ -146,11 +176,9 @@ def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndar
 
     share = np.empty(len(at))
     end, u = off[at] + 1, unit[at]
-    short = length <= SHORT
     alpha = np.zeros((n, SHORT + 1))
     alpha[:, 0] = 1
-    near = np.flatnonzero(short[u])
-    near = near[np.argsort(end[near].astype(np.uint8), kind="stable")]  # by position; a unit's edges stay in order
+    near = np.argsort(end.astype(np.uint8), kind="stable")  # by position; a unit's edges stay in order
     stops = np.searchsorted(end[near], np.arange(1, SHORT + 2))
     for i in range(1, SHORT + 1):
         e = near[stops[i - 1] : stops[i]]
@@ -160,16 +188,6 @@ def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndar
         p = alpha[ue, i - size[e]] * w[e]
         alpha[:, i] = np.bincount(ue, p, n)
         share[e] = p / alpha[ue, i]
-    for k in np.flatnonzero(~short):
-        log = np.full(length[k] + 1, -np.inf)
-        log[0] = 0
-        for i in range(1, length[k] + 1):
-            e = slice(first[before[k] + i - 1], first[before[k] + i])
-            x = log[i - size[e]] + np.log(w[e])
-            top = x.max()
-            p = np.exp(x - top)
-            log[i] = top + np.log(p.sum())
-            share[e] = p / p.sum()
     likely = np.lexsort((-share, at))  # a state's likeliest edge first: few steps to the drawn one
     size, row, share = size[likely], row[likely], share[likely]
     total = np.concatenate([[0], np.cumsum(share)])
@@ -178,48 +196,119 @@ def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndar
     return before, first, size, row, cumulative
 
 
-def encode(v: Vocabulary, data: np.ndarray, offs: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all rows one after another, and the rows' offsets in them."""
-    n = len(offs) - 1
-    chars, starts = _characters(data, offs)
-    if not len(chars):
-        return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-    codes = v.code[chars]
-    inner = v.inner[codes]
-    cut = np.ones(len(chars), bool)
-    cut[1:] = ~v.meets[inner[:-1], inner[1:]]
-    cut[starts[starts < len(chars)]] = True
-    us = np.flatnonzero(cut)
-    length = np.diff(np.append(us, len(chars)))
+def _random(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Between 0 and 1, from a row's key and a position."""
+    return (mix(key + mix(place.astype(np.uint64))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
+def draw_short(v: Vocabulary, codes: np.ndarray, us: np.ndarray, length: np.ndarray, key: np.ndarray, begin: np.ndarray):
+    """Pieces of short units, from the end: unit, piece row (-1: bytes), first character and number among the unit's, counted from its end."""
     _, first_at, which = np.unique(Spans(codes, v.table)(us, us + length), return_index=True, return_inverse=True)
     before, first, size, row, cumulative = lattice(v, codes, us[first_at], length[first_at])
-
-    key = mix(keys.view(np.uint64) ^ mix(np.uint64(seed)))[np.searchsorted(starts, us, "right") - 1]
-    begin = us - starts[np.searchsorted(starts, us, "right") - 1]
     live, here = np.arange(len(us)), length.copy()
-    occ, what = [], []
+    out = []
     while len(live):
         state = before[which[live]] + here[live] - 1
-        u = (mix(key[live] + mix((begin[live] + here[live]).astype(np.uint64))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        u = _random(key[live], begin[live] + here[live])
         edge = first[state]
         more = np.flatnonzero(cumulative[edge] <= u)
         while len(more):
             edge[more] += 1
             more = more[cumulative[edge[more]] <= u[more]]
         here[live] -= size[edge]
-        occ.append(live)
-        what.append(np.where(row[edge] >= 0, v.id[row[edge]], -1 - (us[live] + here[live])))
+        out.append((live, row[edge], us[live] + here[live], np.full(len(live), len(out))))
         live = live[here[live] > 0]
-    steps = np.repeat(np.arange(len(occ)), [len(x) for x in occ])
-    occ, what = np.concatenate(occ), np.concatenate(what)
-    count = np.bincount(occ, minlength=len(us))
-    flat = np.empty(len(what), np.int64)
-    flat[np.cumsum(count)[occ] - 1 - steps] = what
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def draw_long(v: Vocabulary, codes: np.ndarray, us: np.ndarray, length: np.ndarray, key: np.ndarray, begin: np.ndarray):
+    """The same of long units, whose blocks go forward side by side."""
+    width = v.longest
+    size = max(BLOCK, -(-int(length.sum()) // BLOCKS))
+    number = -(-length // size)
+    unit = np.repeat(np.arange(len(us)), number)
+    nth = np.arange(len(unit)) - (np.cumsum(number) - number)[unit]
+    steps = np.minimum(size, length[unit] - nth * size)
+    order = np.argsort(-steps, kind="stable")  # those that still go on come first
+    unit, nth, steps = unit[order], nth[order], steps[order]
+    before = np.cumsum(length) - length
+
+    def edges(i: int, b: np.ndarray):
+        """Weights and piece rows of the pieces that end at the i-th position of the blocks, by length."""
+        off = nth[b] * size + i
+        pos = us[unit[b]] + off
+        weight, row = np.zeros((len(b), width)), np.full((len(b), width), -1, np.int32)
+        h = np.zeros(len(b), np.uint64)
+        for k in range(1, width + 1):
+            h = v.table[codes[np.maximum(pos - k + 1, 0)]] + _BASE * h
+            hit, at = v.find(mix(h + np.uint64(k)))
+            ok = off[hit] >= k - 1
+            weight[hit[ok], k - 1], row[hit[ok], k - 1] = v.weight[at[ok]], at[ok]
+        weight[row[:, 0] < 0, 0] = v.unknown_weight
+        return weight, row, pos, off
+
+    # a block's sums for each position before it alone, but for the last block of a unit
+    state = np.zeros((len(unit), width))
+    state[nth == 0, 0] = 1
+    inner = np.flatnonzero(nth < number[unit] - 1)
+    if len(inner):
+        sums = np.tile(np.eye(width), (len(inner), 1, 1))
+        for i in range(size):
+            new = np.einsum("bk,bkj->bj", edges(i, inner)[0], sums)
+            sums = np.concatenate([new[:, None, :], sums[:, :-1]], axis=1)
+            sums /= sums.max(axis=(1, 2), keepdims=True)
+        place = {(u, k): b for b, (u, k) in enumerate(zip(unit.tolist(), nth.tolist(), strict=True))}
+        for j in np.lexsort((nth[inner], unit[inner])).tolist():
+            b = inner[j]
+            after = sums[j] @ state[b]
+            state[place[int(unit[b]), int(nth[b]) + 1]] = after / after.max()
+        del sums
+
+    drawn, rows = np.empty(int(length.sum()), np.uint8), np.empty(int(length.sum()), np.int32)
+    for i in range(int(steps[0])):
+        b = np.arange(np.searchsorted(-steps, -i, "left"))
+        weight, row, pos, off = edges(i, b)
+        p = weight * state[b]
+        total = p.sum(axis=1)
+        state[b] = np.concatenate([np.ones((len(b), 1)), state[b, :-1] / total[:, None]], axis=1)
+        likely = np.argsort(-p, axis=1, kind="stable")
+        cumulative = np.cumsum(np.take_along_axis(p, likely, axis=1) / total[:, None], axis=1)
+        u = _random(key[unit[b]], begin[unit[b]] + off + 1)
+        edge = np.minimum((cumulative <= u[:, None]).sum(axis=1), (weight > 0).sum(axis=1) - 1)
+        k = likely[b, edge]
+        at = before[unit[b]] + off
+        drawn[at], rows[at] = k + 1, row[b, k]
+
+    out = []
+    for n in range(len(us)):
+        sizes = drawn[before[n] : before[n] + length[n]].tolist()
+        at, ends = len(sizes), []
+        while at > 0:
+            ends.append(at)
+            at -= sizes[at - 1]
+        ends = np.array(ends)
+        at = before[n] + ends - 1
+        out.append((np.full(len(ends), n), rows[at].astype(np.int64), us[n] + ends - drawn[at], np.arange(len(ends))))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def sample(v: Vocabulary, chars: np.ndarray, us: np.ndarray, length: np.ndarray, key: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of units (``begin``: their place in their row), and how many each has."""
+    codes = v.code[chars]
+    parts = []
+    for some, draw in ((np.flatnonzero(length <= SHORT), draw_short), (np.flatnonzero(length > SHORT), draw_long)):
+        if len(some):
+            unit, *rest = draw(v, codes, us[some], length[some], key[some], begin[some])
+            parts.append((some[unit], *rest))
+    unit, row, at, nth = (np.concatenate(x) for x in zip(*parts, strict=True))
+    count = np.bincount(unit, minlength=len(us))
+    place = np.cumsum(count)[unit] - 1 - nth
+    flat, lead = np.empty(len(unit), np.int64), np.empty(len(unit), np.int64)
+    flat[place], lead[place] = np.where(row >= 0, v.id[row], -1), at
 
-    owner = np.repeat(np.searchsorted(starts, us, "right") - 1, count)
     lost = np.flatnonzero(flat < 0)
     if len(lost):
-        codes_lost, back = np.unique(chars[-1 - flat[lost]], return_inverse=True)
+        codes_lost, back = np.unique(chars[lead[lost]], return_inverse=True)
         as_bytes = [np.frombuffer(_bytes_of(int(c)), np.uint8) for c in codes_lost]
         wide = np.ones(len(flat), np.int64)
         wide[lost] = np.array([len(b) for b in as_bytes])[back]
@@ -231,8 +320,56 @@ def encode(v: Vocabulary, data: np.ndarray, offs: np.ndarray, keys: np.ndarray,
         for k in range(4):
             sel = wide[lost] > k
             out[at[lost][sel] + k] = table[back[sel], k]
-        flat, owner = out, np.repeat(owner, wide)
-    return flat, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+        count = np.bincount(np.repeat(np.repeat(np.arange(len(us)), count), wide), minlength=len(us))
+        flat = out
+    return flat, count
+
+
+def encode(v: Vocabulary, data: np.ndarray, offs: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of all rows one after another, and the rows' offsets in them."""
+    n = len(offs) - 1
+    chars, starts = _characters(data, offs)
+    if not len(chars):
+        return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
+    cut = boundaries(v, chars)
+    cut[starts[starts < len(chars)]] = True
+    us = np.flatnonzero(cut)
+    row = np.searchsorted(starts, us, "right") - 1
+    ids, count = sample(v, chars, us, np.diff(np.append(us, len(chars))), _seeds(keys, seed)[row], us - starts[row])
+    return ids, np.concatenate([[0], np.cumsum(np.bincount(row, count, n).astype(np.int64))])
+
+
+def _seeds(keys: np.ndarray, seed: int) -> np.ndarray:
+    return mix(keys.view(np.uint64) ^ mix(np.uint64(seed)))
+
+
+def encode_long(v: Vocabulary, data: np.ndarray, key: np.ndarray, seed: int, size: int):
+    """One row's piece ids, in slices of about ``size`` bytes that end between units."""
+    own, done = _seeds(key, seed), 0
+    held: list[np.ndarray] = []  # characters of a unit that goes on
+    at = 0
+    while at < len(data):
+        upto = min(len(data), at + size)
+        back = 0
+        while upto < len(data) and back < 3 and data[upto] & 0xC0 == 0x80:
+            upto, back = upto - 1, back + 1
+        chars = _codes((" " if at == 0 else "") + data[at:upto].tobytes().decode("utf-8", "surrogateescape"))
+        cut = boundaries(v, np.append(held[-1][-1:], chars))[1:] if held else boundaries(v, chars)
+        at = upto
+        ends = np.flatnonzero(cut)
+        last = at >= len(data)
+        if not last and not len(ends):
+            held.append(chars)
+            continue
+        stop = len(chars) if last else ends[-1]
+        lead = sum(map(len, held))
+        whole = np.concatenate([*held, chars[:stop]])
+        held = [chars[stop:]] if stop < len(chars) else []
+        us = ends[ends < stop] + lead
+        us = np.append(0, us) if lead else us
+        if len(whole):
+            yield sample(v, whole, us, np.diff(np.append(us, len(whole))), np.repeat(own, len(us)), us + done)[0]
+        done += len(whole)
 
 
 def decode(v: Vocabulary, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,26 +386,55 @@ def decode(v: Vocabulary, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray
 
 def model_bytes(path: str = MODEL) -> bytes:
     """Read once on the driver; executors get the bytes."""
-    with open(path, "rb") as f:
-        return f.read()
+    try:
+        with open(path, "rb") as f:
+            return f.read()
+    except FileNotFoundError:
+        raise FileNotFoundError(f"no vocabulary at {path}: pass model=, or set TIDEMARK_PIECES") from None
 
 
-def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int = 42, power: float = 1.0, digest: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int = 42, power: float = 1.0, digest: bool = False, keep: tuple[str, ...] = (), batch: int = BATCH) -> DataFrame:
     """``(key, keep..., ids)`` of each whole text; with ``digest`` instead ``(key, n_pieces, ids_md5, decoded_sha256, lossless)``."""
     arrow_rows(docs.sparkSession)
     proto, name = model_bytes(model), key
     src = docs.select(F.col(key).alias("key"), F.xxhash64(key).alias("row_seed"), "text", *[F.col(c).alias(f"keep_{c}") for c in keep])
 
+    def cut(v: Vocabulary, rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray):
+        """The rows' ids in one piece, or in slices if there is one long row."""
+        seeds = np.asarray(rows.column("row_seed"))
+        if rows.num_rows > 1 or len(data) <= batch:
+            return encode(v, data, offs, seeds, seed)
+        return encode_long(v, data, seeds, seed, batch)
+
+    def long_digest(v: Vocabulary, data: np.ndarray, slices) -> tuple[int, str, str, bool]:
+        n, at, same = 0, 0, True
+        ids_md5, sha = hashlib.md5(), hashlib.sha256()
+        for ids in slices:
+            raw = v.bytes_of(ids)[at == 0 :]  # the leading mark's space goes
+            ids_md5.update(ids.astype("<i4").tobytes())
+            sha.update(raw)
+            same &= raw == data[at : at + len(raw)].tobytes()
+            n, at = n + len(ids), at + len(raw)
+        return n, ids_md5.hexdigest(), sha.hexdigest(), same and at == len(data)
+
     def run(batches):
         v = Vocabulary(proto, power)
-        for rows, data, offs in chunks(batches, size=BATCH):
-            ids, at = encode(v, data, offs, np.asarray(rows.column("row_seed")), seed)
+        names = [name, "n_pieces", "ids_md5", "decoded_sha256", "lossless"]
+        for rows, data, offs in chunks(batches, size=batch):
+            got = cut(v, rows, data, offs)
+            if digest and not isinstance(got, tuple):
+                yield pa.RecordBatch.from_arrays([rows.column("key"), *(pa.array([x]) for x in long_digest(v, data, got))], names)
+                continue
+            if not isinstance(got, tuple):
+                ids = np.concatenate([x.astype(np.int32) for x in got])
+                got = ids, np.array([0, len(ids)])
+            ids, at = got
             if not digest:
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.column("key"), *(rows.column(f"keep_{c}") for c in keep), lists], [name, *keep, "ids"])
                 continue
-            got, where = decode(v, ids, at)
-            raw, out, small = data.tobytes(), got.tobytes(), ids.astype("<i4").tobytes()
+            back, where = decode(v, ids, at)
+            raw, out, small = data.tobytes(), back.tobytes(), ids.astype("<i4").tobytes()
             pairs = list(zip(where[:-1].tolist(), where[1:].tolist(), offs[:-1].tolist(), offs[1:].tolist(), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -277,7 +443,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int
                     pa.array([hashlib.sha256(out[a:b]).hexdigest() for a, b, _, _ in pairs]),
                     pa.array([out[a:b] == raw[c:d] for a, b, c, d in pairs]),
                 ],
-                [name, "n_pieces", "ids_md5", "decoded_sha256", "lossless"],
+                names,
             )
 
     kind = docs.schema[key].dataType.simpleString()
