@@ -80,7 +80,7 @@ def test_run_is_incremental_and_repeatable(spark, tmp_path, fused):
     opt = Options(fused=fused)
     eng, box = engine(spark, tmp_path, log(spark, change("c", 1, 1, 10), change("c", 2, 2, 20), change("u", 3, 1, 11), change("d", 4, 2)))
     first = eng.run(*JOB, opt, END)
-    assert target(eng) == [(1, 11, "a")] and first.counts["records_inserted"] == 2 and first.counts["rows_deleted"] == 1
+    assert first.counts["records_rejected"] == 0 and target(eng) == [(1, 11, "a")] and first.counts["records_inserted"] == 2 and first.counts["rows_deleted"] == 1
     assert first.watermark == datetime(2024, 1, 1, 0, 0, 4)
     again = eng.run(*JOB, opt, END)  # an empty window
     assert again.counts["records_inserted"] == 0 and target(eng) == [(1, 11, "a")]
@@ -102,7 +102,7 @@ def test_partitions_that_are_not_touched_carry_over(spark, tmp_path):
     box["rows"] = log(spark, change("u", 10, 1, 5, part="b/é"))  # moves
     eng.run(*JOB, Options(), END)
     assert target(eng) == [(1, 5, "b/é"), (2, 20, "b/é")]
-    s.vacuum(1)
+    s.vacuum(1, grace=0)
     assert target(eng) == [(1, 5, "b/é"), (2, 20, "b/é")]
 
 
@@ -159,7 +159,7 @@ def test_quarantine_and_null_keys(spark, tmp_path):
     eng, _ = engine(spark, tmp_path, log(spark, change("u", 1, 1, "x"), change("u", 2, 2, 5), change("u", 3, None, 6)))
     eng.run(*JOB, Options(on_error="quarantine"), END)
     assert target(eng) == [(2, 5, "a")]
-    assert spark.read.parquet(f"file://{tmp_path}/quarantine/d/t").count() == 2
+    assert sorted(r["reason"] for r in eng.quarantined("d", "t").collect()) == ["key", "value"]
 
 
 def test_gates(spark, tmp_path):
@@ -179,6 +179,159 @@ def test_preview_writes_nothing(spark, tmp_path):
     assert got.upserts.count() == 1 and target(eng) == []
 
 
+RAW = [('{"id": 1, "v": 10, "part": "a", "__op": "u", "__ts_ns": 1, "__source_pos": 1}', 1), ('{"id": "abc", "v": 2, "__op": "u", "__ts_ns": 2, "__source_pos": 2}', 2), ('{"id": null, "v": 3, "__op": "u", "__ts_ns": 3, "__source_pos": 3}', 3), ('{"id": 4, "v": 4, "__op": "d", "__ts_ns": "x", "__source_pos": 4}', 4)]
+
+
+def raw_log(spark):
+    rows = [(data, datetime(2024, 1, 1, 0, 0, s)) for data, s in RAW]
+    return spark.createDataFrame(rows, "data string, load_ts timestamp_ntz").withColumn("load_date", F.to_date("load_ts"))
+
+
+@pytest.mark.parametrize("fused", [True, False])
+def test_unreadable_changes_fail_the_run(spark, tmp_path, fused):
+    eng, box = engine(spark, tmp_path, raw_log(spark))
+    with pytest.raises(MergeError, match="'key': 2"):
+        eng.run(*JOB, Options(fused=fused), END)
+    assert target(eng) == [] and eng.quarantined("d", "t").count() == 0
+    runs = runlog.read(spark, eng.control, "runs").collect()
+    assert [r["run_status"] for r in runs] == ["FAILED"] and "version" in runs[0]["error_msg"]
+    box["rows"] = raw_log(spark).where("load_ts < timestamp_ntz'2024-01-01 00:00:02'")
+    assert eng.run(*JOB, Options(fused=fused), END).start == window.EPOCH and target(eng) == [(1, 10, "a")]
+
+
+@pytest.mark.parametrize("on_error", ["null", "quarantine"])
+def test_unreadable_changes_are_set_aside_and_counted(spark, tmp_path, on_error):
+    eng, _ = engine(spark, tmp_path, raw_log(spark).unionByName(log(spark, change("u", 5, 6, "x"))).unionByName(spark.createDataFrame([("{no", datetime(2024, 1, 1, 0, 0, 9))], "data string, load_ts timestamp_ntz").withColumn("load_date", F.to_date("load_ts"))))
+    got = eng.run(*JOB, Options(on_error=on_error), END)
+    want = ["json", "key", "key", "version"] + (["value"] if on_error == "quarantine" else [])
+    assert sorted(r["reason"] for r in eng.quarantined("d", "t").collect()) == sorted(want) and got.counts["records_rejected"] == len(want)
+    assert target(eng) == [(1, 10, "a")] + ([(6, None, "a")] if on_error == "null" else [])
+    run = runlog.read(spark, eng.control, "runs").first()
+    assert (run["run_status"], run["records_rejected"]) == ("SUCCESS", len(want))
+
+
+def test_a_repeated_run_sets_aside_once(spark, tmp_path):
+    eng, _ = engine(spark, tmp_path, raw_log(spark))
+    real, SnapshotStore.commit = SnapshotStore.commit, lambda *a, **k: 1 / 0
+    try:
+        with pytest.raises(ZeroDivisionError):
+            eng.run(*JOB, Options(on_error="quarantine"), END)
+    finally:
+        SnapshotStore.commit = real
+    assert eng.quarantined("d", "t").count() == 0
+    eng.run(*JOB, Options(on_error="quarantine"), END)
+    assert eng.quarantined("d", "t").count() == 3
+
+
+def test_null_keys_by_choice(spark, tmp_path):
+    rows = raw_log(spark).where("data not like '%abc%' and data not like '%\"x\"%'")
+    eng, _ = engine(spark, tmp_path, rows)
+    eng.run(*JOB, Options(allow_null_pk=True), END)
+    rows = eng.store(conf.lookup(eng.config, *JOB)).read().collect()
+    assert sorted(str(tuple(r)) for r in rows) == ["(1, 10, 'a')", "(None, 3, None)"]
+
+
+def test_changes_in_any_order(spark, tmp_path):
+    """Micro-batches with old changes after new ones: the newest of each key wins, deletes included."""
+    parts = [[change("u", 1, 1, 10), change("u", 2, 2, 20)], [change("d", 3, 1), change("u", 4, 3, 30)], [change("u", 5, 2, 21), change("d", 6, 3), change("u", 6, 4, 40)]]
+    for n, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 2, 0)]):
+        eng, box = engine(spark, tmp_path / str(n), log(spark, *parts[0]))
+        for k, i in enumerate(order):
+            box["rows"] = log(spark, *parts[i])
+            eng.run(*JOB, Options(), END, batch=("s", k))
+        assert target(eng) == [(2, 21, "a"), (4, 40, "a")]
+
+
+def test_plan_reads_and_exchanges_the_target_once(spark, tmp_path):
+    eng, box = engine(spark, tmp_path, log(spark, *[change("c", i, i, i, load=i % 50) for i in range(1, 200)]))
+    eng.run(*JOB, Options(), END)
+    s = eng.store(conf.lookup(eng.config, *JOB))
+    before = s.current()
+    assert before.buckets == 16 and all(len(list((tmp_path / "targets/d/t" / p).glob("*.parquet"))) == 1 for p in before.parts.values())
+    box["rows"] = log(spark, change("u", 300, 5, 77, load=55), change("d", 301, 6, load=56))
+    plans = []
+    real, SnapshotStore._write = SnapshotStore._write, lambda self, m, rows, folder: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or real(self, m, rows, folder)
+    try:
+        got = eng.run(*JOB, Options(), END)
+    finally:
+        SnapshotStore._write = real
+    plan = plans[0].split("InMemoryRelation")[0]  # the stage, computed once before, comes last
+    assert len(plans) == 1 and plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning(id") == plan.count("Exchange ") == 2
+    assert {k: got.counts[k] for k in ("rows_updated", "rows_inserted", "rows_deleted")} == {"rows_updated": 1, "rows_inserted": 0, "rows_deleted": 1}
+    after = s.current()
+    assert 1 <= sum(after.parts.get(k) != v for k, v in before.parts.items()) <= 2  # the buckets of two keys
+    assert len(target(eng)) == 198
+
+
+def test_two_threads_commit_the_same_version(spark, tmp_path):
+    """A hundred races: one writer wins each, the other is told."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    s = SnapshotStore(spark, f"file://{tmp_path}/s")
+    s.create(TARGET)
+    gate = Barrier(2)
+
+    def one(who):
+        before = s.current()
+        gate.wait()
+        try:
+            return s.commit(before, None, counts={"who": who}).counts["who"]
+        except CommitConflict:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        for n in range(100):
+            won = [x for x in pool.map(one, (1, 2)) if x]
+            assert len(won) == 1 and s.current().version == n + 1 and s.current().counts["who"] == won[0]
+    assert not [x for x in s.fs.names() if x.startswith("_tmp-")]
+
+
+def test_vacuum_leaves_what_is_being_written(spark, tmp_path):
+    s = SnapshotStore(spark, f"file://{tmp_path}/s")
+    s.create(TARGET, keys=["id"])
+    for k in range(3):
+        s.commit(s.current(), spark.createDataFrame([(k, 2, "a")], TARGET))
+    spark.createDataFrame([(9, 9, "z")], TARGET).write.parquet(f"file://{tmp_path}/s/v000000000009-abc/_p=x")
+    s.vacuum(1)
+    assert "v000000000009-abc" in s.fs.names() and len([n for n in s.fs.names() if n.startswith("v")]) == 4
+    s.vacuum(1, grace=0)
+    assert len([n for n in s.fs.names() if n.startswith("v")]) == 1 and s.read().count() == 1
+
+
+def test_other_stores_need_a_lock(spark, tmp_path):
+    from contextlib import contextmanager
+
+    held = []
+
+    @contextmanager
+    def lock(path):
+        held.append(path)
+        yield
+
+    s = SnapshotStore(spark, f"file://{tmp_path}/s", lock)
+    s.create(TARGET)
+
+    class Elsewhere:
+        """The local disk under another name."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def getUri(self):
+            return type("U", (), {"getScheme": lambda _: "s3a"})()
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    s.fs.fs = Elsewhere(s.fs.fs)
+    s.commit(s.current(), None)
+    assert len(held) == 1 and s.current().version == 1
+    s.lock = None
+    with pytest.raises(ValueError, match="needs a lock"):
+        s.commit(s.current(), None)
+
+
 def test_two_writers_conflict(spark, tmp_path):
     s = SnapshotStore(spark, f"file://{tmp_path}/s")
     before = s.create(TARGET)
@@ -191,9 +344,15 @@ def test_two_writers_conflict(spark, tmp_path):
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     eng, box = engine(spark, tmp_path, log(spark, change("c", 1, 1, 10)))
-    eng.run(*JOB, Options(), END, batch="7")
+    eng.run(*JOB, Options(), END, batch=("s", 7))
     box["rows"] = log(spark, change("c", 2, 2, 20))
-    assert eng.run(*JOB, Options(), END, batch="7").counts["records_inserted"] == 0 and target(eng) == [(1, 10, "a")]
+    assert eng.run(*JOB, Options(), END, batch=("s", 7)).counts["records_inserted"] == 0 and target(eng) == [(1, 10, "a")]
+    eng.run(*JOB, Options(), END)  # a plain run in between doesn't forget it
+    assert target(eng) == [(1, 10, "a"), (2, 20, "a")]
+    box["rows"] = log(spark, change("u", 3, 2, 21))
+    assert eng.run(*JOB, Options(), END, batch=("s", 7)).counts["records_inserted"] == 0 and target(eng) == [(1, 10, "a"), (2, 20, "a")]
+    eng.run(*JOB, Options(), END, batch=("other", 0))  # another stream
+    assert target(eng) == [(1, 10, "a"), (2, 21, "a")]
 
 
 def test_many_jobs(spark, tmp_path):

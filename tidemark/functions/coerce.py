@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.config import JobConfig
-from ..sources.schema import ColumnSpec
+from ..sources.schema import RESERVED, ColumnSpec
 from .payload import OP_GATED, UPSERT, get, path, scalar_text
 
 Rule = Callable[[Column, str], Column]
@@ -158,10 +158,35 @@ def project(cfg: JobConfig, specs: list[ColumnSpec], run_ts: Column, profile: st
     return [coerce(F.col("_v"), s, cfg, run_ts, profile, on_error).alias(s.name) for s in specs]
 
 
-def unreadable(v: Column, specs: list[ColumnSpec], cfg: JobConfig, run_ts: Column, profile: str = UPSERT) -> Column:
-    """True if a value that is there doesn't convert: what the quarantine policy sets aside."""
+def metadata(spec: ColumnSpec, log_columns: list[str], run_ts: Column) -> Column:
+    """A reserved column from the change's envelope, never from its image; those that a log may carry itself are taken from there."""
+    name = spec.name.lower()
+    if name == "source_ts_ns_order":
+        value = epoch_nanos(F.col("_ts_ns"))
+    elif name == "pos":
+        value = F.col("_pos")
+    elif name == "__op":
+        value = F.col("_op")
+    elif name in ("bq_load_ts", "mysql_load_ts"):
+        value = F.col("load_ts")
+    elif name in ("bigquery_updated_on", "mysql_updated_on"):
+        value = run_ts
+    else:
+        have = {c.lower(): c for c in log_columns}
+        value = F.col(f"`{have[name]}`") if name in have else F.lit(None)
+    return value.cast(spec.type)
+
+
+def target_row(cfg: JobConfig, specs: list[ColumnSpec], log_columns: list[str], run_ts: Column, profile: str = UPSERT, on_error: str = "fail") -> list[Column]:
+    """Every column of the target: reserved ones from the envelope, the others from the image."""
+    own = lambda s: metadata(s, log_columns, run_ts) if s.name.lower() in RESERVED and s.name not in cfg.json_key_overrides else coerce(F.col("_v"), s, cfg, run_ts, profile, on_error)
+    return [own(s).alias(s.name) for s in specs]
+
+
+def unreadable(v: Column, specs: list[ColumnSpec], cfg: JobConfig, run_ts: Column, profile: str = UPSERT, but: tuple[str, ...] = ()) -> Column:
+    """True if a value that is there doesn't convert: what the quarantine policy sets aside; ``but``: columns that are checked elsewhere."""
     out = F.lit(False)
-    for s in specs:
+    for s in (s for s in specs if s.name.lower() not in RESERVED and s.name not in but):
         x = scalar_text(v, cfg.json_key_overrides.get(s.name, s.name), profile)
         if not isinstance(s.type, (T.StringType, T.VariantType)):
             out = out | (x.isNotNull() & coerce(v, s, cfg, run_ts, profile, "null").isNull())

@@ -51,3 +51,26 @@ def envelope(log: DataFrame, keys: list[tuple[str, str, str]], profile: str = UP
         op = F.when(F.coalesce(there, F.lit(False)), F.lit("null")).otherwise(op)
     cols = [op.alias("_op"), get(F.col("_v"), "__ts_ns", "bigint").alias("_ts_ns"), get(F.col("_v"), "__source_pos", "bigint").alias("_pos")]
     return v.select("*", *cols, *[get(F.col("_v"), k, t).alias(c) for c, k, t in keys])
+
+
+def there(v: Column, key: str) -> Column:
+    """The key is there, and not a JSON null."""
+    whole = F.variant_get(v, path(key), "variant")
+    return F.coalesce(~F.is_variant_null(whole), F.lit(False))
+
+
+def rejected(keys: list[tuple[str, str, str]], allow_null: bool = False) -> Column:
+    """Why an enveloped change can't be applied, or null.
+
+    ``json``: the image doesn't parse; ``key``: a key is null or doesn't read as its type
+    (with ``allow_null`` only the latter); ``version``, ``position``: such a field is there
+    but doesn't read.
+    """
+    v = F.col("_v")
+    lost = F.lit(False)
+    for c, k, _ in keys:
+        lost = lost | (F.col(c).isNull() & (there(v, k) if allow_null else F.lit(True)))
+    return (
+        F.when(v.isNull(), "json").when(lost, "key")
+        .when(F.col("_ts_ns").isNull() & there(v, "__ts_ns"), "version").when(F.col("_pos").isNull() & there(v, "__source_pos"), "position")
+    )

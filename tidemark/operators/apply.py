@@ -60,10 +60,65 @@ def op_gated(target: DataFrame, upserts: DataFrame, keys: list[str], version: st
     return changed.unionByName(insert_missing(target, upserts, keys))
 
 
+def paired(upserts: DataFrame, deletes: DataFrame, keys: list[str]) -> DataFrame:
+    """Upserts and deletes side by side, one row a key: ``(keys, i, d)``, as ``stage.changes`` gives them."""
+    row = lambda df: F.struct(*[c for c in df.columns])
+    i = upserts.select(*[F.col(k).alias(f"_i_{k}") for k in keys], row(upserts).alias("i"))
+    d = deletes.select(*[F.col(k).alias(f"_d_{k}") for k in keys], row(deletes).alias("d"))
+    both = i.join(d, [i[f"_i_{k}"] == d[f"_d_{k}"] for k in keys], "full")
+    return both.select(*[F.coalesce(f"_i_{k}", f"_d_{k}").alias(k) for k in keys], "i", "d")
+
+
+def merged(target: DataFrame, changes: DataFrame, keys: list[str], profile: str = "upsert", version: str | None = None, hidden: bool = False, guard: bool = False) -> DataFrame:
+    """Every row of the target and of the changes with what becomes of it in ``_state``, from one join.
+
+    ``changes`` has one row a key: ``i`` with every target column and ``d``, either may be
+    null; upserts come first, then deletes.  ``_state``: kept, updated, inserted, deleted.
+
+    ``version``: a target column; changes older than the row's do nothing.  ``hidden``: the
+    target has the column ``_cdc``, the newest change applied to a row.  With ``guard``,
+    changes older than that do nothing, and a delete leaves a mark (state ``mark``), so that
+    changes may come in any order.
+    """
+    t = target.withColumn("_had", F.lit(True))
+    c = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "i", "d")
+    met = t.join(c, [t[k] == c[f"_k_{k}"] for k in keys], "full")
+    gone = F.coalesce(F.col("_cdc.gone"), F.lit(False)) if hidden else F.lit(False)
+    there = F.coalesce(F.col("_had"), F.lit(False))
+    had, known = there & ~gone, F.col("_cdc.ts_ns").isNotNull() if hidden else F.lit(False)
+    put, drop = F.col("i").isNotNull(), F.col("d").isNotNull()
+    if profile == OP_GATED:
+        put = put & (~had | (F.col("i._op") == "u"))
+    if version is not None:
+        put = put & (~had | (F.col("i._ts_ns") >= F.col(version)))
+    if guard:
+        put = put & (~known | (F.struct("i._ts_ns", "i._pos") >= F.struct("_cdc.ts_ns", "_cdc.pos")))
+    put = F.coalesce(put, F.lit(False))
+    if version is not None:
+        drop = drop & (F.col("d._ts_ns") >= F.when(put, F.col(f"i.{version}")).otherwise(F.col(version)))
+    if guard:
+        drop = drop & (put | ~known | (F.col("d._ts_ns") > F.col("_cdc.ts_ns")))
+    drop = F.coalesce(drop, F.lit(False))
+    state = F.when(drop & (had | put), "deleted").when(put & had, "updated").when(put, "inserted").when(had, "kept")
+    own = [n for n in target.columns if n != "_cdc"]
+    out = {n: F.when(put, F.col(f"i.{n}")).otherwise(F.col(n)) for n in own}
+    if not hidden:
+        return met.select(*[o.alias(n) for n, o in out.items()], state.alias("_state")).where(F.col("_state").isNotNull())
+    out |= {k: F.coalesce(out[k], F.col(f"_k_{k}")) for k in keys}
+    as_of = lambda x, dead: F.struct(F.col(f"{x}._ts_ns").alias("ts_ns"), F.col(f"{x}._pos").alias("pos"), F.lit(dead).alias("gone"))
+    mark = F.when(drop, as_of("d", True)).when(put, as_of("i", False)).otherwise(F.col("_cdc"))
+    stays = there | put | (drop if guard else F.lit(False))
+    return met.where(stays).select(*[o.alias(n) for n, o in out.items()], mark.alias("_cdc"), F.coalesce(state, F.lit("mark")).alias("_state"))
+
+
+def applied(target: DataFrame, changes: DataFrame, keys: list[str], profile: str = "upsert", version: str | None = None) -> DataFrame:
+    """The target after the changes of ``stage.changes`` or ``paired``: it is read once."""
+    return merged(target, changes, keys, profile, version).where(F.col("_state") != "deleted").drop("_state")
+
+
 def merge(target: DataFrame, upserts: DataFrame, deletes: DataFrame, keys: list[str], profile: str = "upsert", version: str | None = None) -> DataFrame:
     """Upserts first, then deletes, as one transaction would."""
-    applied = (op_gated if profile == OP_GATED else upsert)(target, upserts, keys, version)
-    return delete_matched(applied, deletes, keys, version)
+    return applied(target, paired(upserts, deletes, keys), keys, profile, version)
 
 
 def keyed_upsert(table: DataFrame, rows: DataFrame, keys: list[str], changes: list[str]) -> DataFrame:

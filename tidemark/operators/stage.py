@@ -12,12 +12,16 @@ from ..functions.payload import get
 
 def _order() -> list[Column]:
     """Newest first by source time and position; load time and payload settle ties."""
-    return [F.col("_ts_ns").desc(), F.col("_pos").desc(), F.col("load_ts").desc(), F.xxhash64("data").desc()]
+    return [F.col("_ts_ns").desc(), F.col("_pos").desc(), F.col("load_ts").desc(), F.col("_hash").desc()]
 
 
 def latest(log: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest row of each key: one shuffle by key, cut to one row a group before it and after."""
-    return log.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*_order()))).where("_rn = 1").drop("_rn")
+    """The newest row of each key: one shuffle by key, cut to one row a group before it and after.
+
+    The text stays behind: its hash settles ties, and the parsed image says the rest.
+    """
+    log = log.withColumn("_hash", F.xxhash64("data")).drop("data")
+    return log.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*_order()))).where("_rn = 1").drop("_rn", "_hash")
 
 
 def latest_upserts(log: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,20 +40,31 @@ def arbitrate(deletes: DataFrame, upserts: DataFrame, keys: list[str]) -> DataFr
     return out.drop("_i", "_i_ts", *[f"_i_{k}" for k in keys])
 
 
-def fused(log: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
-    """Upserts and surviving deletes of a window from one scan and one shuffle.
+def changes(log: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+    """One row a key from one scan and one shuffle: ``i``, its newest upsert, and ``d``, its newest delete if that survives.
 
-    Rows ``(keys, kind, carry..., _op, _ts_ns, _pos, load_ts)``; ``kind`` is ``I`` or ``D``.
+    Both hold ``carry`` and ``_op, _ts_ns, _pos, load_ts``.  Changes with a ``_bad`` reason
+    (where the log has that column) are only counted, one row a reason.
     """
     row = F.struct(*carry, "_op", "_ts_ns", "_pos", "load_ts")
     # the same order as ``latest``: nulls are lowest in a struct comparison
     rank = F.struct("_ts_ns", "_pos", "load_ts", F.xxhash64("data"))
     best = lambda cond: F.max_by(F.when(cond, row), F.when(cond, rank))
-    op = F.col("_op")
-    both = log.where(op.isNotNull()).groupBy(*keys).agg(best(op != "d").alias("i"), best(op == "d").alias("d"))
-    d = F.when(F.col("i").isNull() | (F.col("i._ts_ns") < F.col("d._ts_ns")), F.col("d"))
-    rows = F.filter(F.array(F.struct(F.lit("I").alias("kind"), F.col("i").alias("v")), F.struct(F.lit("D").alias("kind"), d.alias("v"))), lambda x: x["v"].isNotNull())
-    return both.select(*keys, F.explode(rows).alias("x")).select(*keys, "x.kind", "x.v.*")
+    op, log = F.col("_op"), log.where(F.col("_op").isNotNull())
+    more, sound = [], F.lit(True)
+    if "_bad" in log.columns:  # their keys may be anything: nulls keep them together
+        sound = F.col("_bad").isNull()
+        log = log.select(*[F.when(sound, F.col(k)).alias(k) if k in keys else F.col(k) for k in log.columns])
+        more = ["_bad"]
+    both = log.groupBy(*keys, *more).agg(best(sound & (op != "d")).alias("i"), best(sound & (op == "d")).alias("d"), F.count_if(~sound).alias("_n_bad"))
+    survives = F.col("i").isNull() | (F.col("i._ts_ns") < F.col("d._ts_ns"))
+    return both.withColumn("d", F.when(survives, F.col("d")))
+
+
+def fused(log: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+    """Upserts and surviving deletes of a window as rows ``(keys, kind, carry..., _op, _ts_ns, _pos, load_ts)``; ``kind`` is ``I`` or ``D``."""
+    rows = F.filter(F.array(F.struct(F.lit("I").alias("kind"), F.col("i").alias("v")), F.struct(F.lit("D").alias("kind"), F.col("d").alias("v"))), lambda x: x["v"].isNotNull())
+    return changes(log, keys, carry).select(*keys, F.explode(rows).alias("x")).select(*keys, "x.kind", "x.v.*")
 
 
 def iso_versions(log: DataFrame) -> DataFrame:
@@ -69,3 +84,13 @@ def stage_stats(upserts: DataFrame, deletes: DataFrame) -> DataFrame:
     both = upserts.select(F.lit("I").alias("kind"), "load_ts").unionByName(deletes.select(F.lit("D").alias("kind"), "load_ts"))
     i = F.col("kind") == "I"
     return both.agg(F.count_if(i).alias("records_inserted"), F.count_if(~i).alias("records_deleted"), F.min(F.when(i, F.col("load_ts"))).alias("min_load_ts"), F.max(F.when(i, F.col("load_ts"))).alias("max_load_ts"), F.max("load_ts").alias("max_any_load_ts"))
+
+
+def change_stats(changes: DataFrame, part: Column) -> DataFrame:
+    """The same of ``changes``, one job for all: also what is set aside, and the different values of ``part`` of keys."""
+    i, d = F.col("i").isNotNull(), F.col("d").isNotNull()
+    return changes.agg(
+        F.count_if(i).alias("records_inserted"), F.count_if(d).alias("records_deleted"), F.coalesce(F.sum("_n_bad"), F.lit(0)).alias("records_rejected"),
+        F.min("i.load_ts").alias("min_load_ts"), F.max("i.load_ts").alias("max_load_ts"), F.max(F.greatest("i.load_ts", "d.load_ts")).alias("max_any_load_ts"),
+        F.collect_set(F.when(i | d, part)).alias("parts"),
+    )

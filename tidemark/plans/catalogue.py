@@ -102,7 +102,7 @@ def replay(spark: SparkSession, sf_dir: str, profile: str, windows: int = 3, fus
     target, start = empty_target(spark), window.EPOCH
     for n, end in enumerate(ENDS[:windows]):
         got = stages(window.in_window(log, start, end), JOB, TARGET, RUN_TS, Options(profile=profile, fused=fused))
-        target = apply.merge(target, got.upserts, got.deletes, KEYS, profile)
+        target = apply.applied(target, got.changes, KEYS, profile)
         if n + 1 < windows:
             start = got.upserts.agg(F.max("load_ts")).first()[0] or start
     return target
@@ -213,7 +213,7 @@ def upsert_merge(spark, sf_dir):
 @query("upsert_merge_fused", f"with {E1}, {I1}, {D1}, {A1}, {T1} select * from t1")
 def upsert_merge_fused(spark, sf_dir):
     got = staged(spark, sf_dir, fused=True)
-    return apply.merge(empty_target(spark), got.upserts, got.deletes, KEYS)
+    return apply.applied(empty_target(spark), got.changes, KEYS)
 
 
 #: A base to merge into: the first window's result; and the second window's stage.
@@ -277,14 +277,14 @@ def snapshot_orders(spark, sf_dir):
     cfg = conf.JobConfig("silver", "orders", "orders_cdc", ("o_orderkey",))
     target = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
     got = stages(feeds.orders(spark, sf_dir), cfg, target, RUN_TS)
-    return apply.merge(spark.createDataFrame([], target), got.upserts, got.deletes, ["o_orderkey"])
+    return apply.applied(spark.createDataFrame([], target), got.changes, ["o_orderkey"])
 
 
-@query("key_cast_join", "select o_orderkey, o_totalprice from orders where o_orderkey % 3 = 0")
+@query("key_cast_join", "select o_orderkey, o_totalprice from orders where o_orderkey in (select l_orderkey from lineitem)")
 def key_cast_join(spark, sf_dir):
-    """Keys arrive as zero-padded text and must meet the target's numbers."""
-    o = feeds.read(spark, sf_dir, "orders")
-    texts = o.where("o_orderkey % 3 = 0").select(F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("key_text"))
+    """Keys arrive as zero-padded text, with every line of an order, and must meet the target's numbers."""
+    o, li = feeds.read(spark, sf_dir, "orders"), feeds.read(spark, sf_dir, "lineitem")
+    texts = li.select(F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("key_text"))
     return o.join(texts.select(F.col("key_text").cast("bigint").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey", "o_totalprice")
 
 
@@ -320,7 +320,30 @@ rule("coerce_iso_to_number", "od_iso", co.iso_to_number, "cast(strftime(o_orderd
 rule("coerce_ist_now", "od_iso", lambda x: co.ist_now(window.ntz(RUN_TS)), "timestamp '2024-02-01 05:30:00'")
 rule("coerce_json", "attrs", lambda x: F.try_variant_get(co.json_value(x), "$.p", "string"), "case when o_orderkey % 50 <> 0 then o_orderpriority end")
 rule("coerce_decimal", "price_txt", lambda x: x.cast("decimal(18,2)"), "cast(o_totalprice as decimal(18,2))")
-rule("coerce_varchar", "o_orderstatus", lambda x: F.substring(x, 1, 1), "substr(o_orderstatus, 1, 1)")
+
+
+@query(
+    "coerce_type_switch",
+    """select o_orderkey, substr(o_orderstatus || '-' || o_custkey, 1, 4) as fixed, substr('n' || o_orderkey, 1, 3) as short_text, cast(o_orderkey % 100 as tinyint) as tiny, cast(o_orderkey % 30000 as smallint) as small,
+    cast(o_custkey as int) as medium, o_orderkey * 4000000000 as wide, cast(o_totalprice as float) as single, o_totalprice as amount, cast(round(o_totalprice, 2) as decimal(12,2)) as exact, cast(o_orderdate as date) as day, date_trunc('second', o_orderdate) as at
+    from orders""",
+)
+def coerce_type_switch(spark, sf_dir):
+    """Every type that the target may declare, from JSON text alone."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    o, n = feeds.read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    payload = [
+        n, F.concat("o_orderstatus", F.lit("-"), text(F.col("o_custkey"))).alias("fixed"), F.concat(F.lit("n"), text(n)).alias("short_text"), text(n % 100).alias("tiny"), text(n % 30000).alias("small"), text(F.col("o_custkey")).alias("medium"),
+        text(n * F.lit(4000000000)).alias("wide"), F.col("o_totalprice").alias("single"), text(F.col("o_totalprice")).alias("amount"), text(F.round("o_totalprice", 2).cast("decimal(12,2)")).alias("exact"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"),
+    ]
+    log = feeds.as_log(o, payload, F.lit("c"), F.col("o_orderdate"), n)
+    declared = [("o_orderkey", T.LongType()), ("fixed", T.CharType(4)), ("short_text", T.VarcharType(3)), ("tiny", T.ByteType()), ("small", T.ShortType()), ("medium", T.IntegerType()), ("wide", T.LongType()), ("single", T.FloatType()), ("amount", T.DoubleType()), ("exact", T.DecimalType(12, 2)), ("day", T.DateType()), ("at", T.TimestampNTZType())]
+    cols = [sch.ColumnSpec(name, kind, i + 1) for i, (name, kind) in enumerate(declared)]
+    return pl.envelope(log, [("o_orderkey", "o_orderkey", "bigint")]).select(*co.project(conf.JobConfig("silver", "o", "o", ("o_orderkey",)), cols, window.ntz(RUN_TS)))
+
+
 rule("coerce_null_text", "nullish", lambda x: x, "case when o_orderkey % 4 > 1 then o_orderpriority end", pl.OP_GATED)
 rule("coerce_null_text_kept", "nullish", lambda x: x, "case o_orderkey % 4 when 0 then null when 1 then 'null' else o_orderpriority end")
 
@@ -348,16 +371,26 @@ def json_key_override(spark, sf_dir):
     return rows.select(*co.project(cfg, sch.specs(target, skip_reserved=False), window.ntz(RUN_TS)))
 
 
-@query("metadata_projection_upsert", f"with {E1}, {I1} select user_id, k, make_timestamp(ts_ns // 1000) as source_ts_ns_order, load_ts, pos, timestamp '2024-02-01' as updated_on from i1")
+def with_metadata(spark, sf_dir, more: str, profile: str):
+    """The first window's upserts for a target with reserved columns."""
+    from .engine import Options, stages
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    log = window.in_window(feeds.events(spark, sf_dir), window.EPOCH, ENDS[0]).withColumn("message_id", F.concat(F.lit("m"), F.unix_micros(F.col("load_ts").cast("timestamp"))))
+    target = T.StructType.fromDDL(f"user_id bigint, k bigint, event_type string, {more}")
+    got = stages(log, conf.JobConfig("silver", "events", "events_cdc", tuple(KEYS)), target, RUN_TS, Options(profile=profile))
+    return got.changes.where("i is not null").select("i.*").select(*target.fieldNames())
+
+
+@query("metadata_projection_upsert", f"with {E1}, {I1} select user_id, k, event_type, make_timestamp(ts_ns // 1000) as source_ts_ns_order, cast(null as timestamp) as publish_time, load_ts as bq_load_ts, pos, timestamp '2024-02-01' as bigquery_updated_on, 'm' || epoch_us(load_ts) as message_id from i1")
 def metadata_projection_upsert(spark, sf_dir):
-    i = stage.latest_upserts(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS)
-    return i.select(*KEYS, co.epoch_nanos(F.col("_ts_ns")).alias("source_ts_ns_order"), "load_ts", F.col("_pos").alias("pos"), window.ntz(RUN_TS).alias("updated_on"))
+    """Reserved columns come from the envelope and the log's own columns, never from the image."""
+    return with_metadata(spark, sf_dir, "source_ts_ns_order timestamp_ntz, publish_time timestamp_ntz, bq_load_ts timestamp_ntz, pos bigint, bigquery_updated_on timestamp_ntz, message_id string", pl.UPSERT)
 
 
-@query("metadata_projection_op_gated", f"with {E1}, {I1} select user_id, k, make_timestamp(ts_ns // 1000) as source_ts_ns_order, pos, load_ts, timestamp '2024-02-01' as updated_on, op from i1")
+@query("metadata_projection_op_gated", f"with {E1}, {I1} select user_id, k, event_type, make_timestamp(ts_ns // 1000) as source_ts_ns_order, pos, load_ts as mysql_load_ts, timestamp '2024-02-01' as mysql_updated_on, op as __op from i1")
 def metadata_projection_op_gated(spark, sf_dir):
-    i = stage.latest_upserts(window.in_window(enveloped(spark, sf_dir), window.EPOCH, ENDS[0]), KEYS)
-    return i.select(*KEYS, co.epoch_nanos(F.col("_ts_ns")).alias("source_ts_ns_order"), F.col("_pos").alias("pos"), "load_ts", window.ntz(RUN_TS).alias("updated_on"), F.col("_op").alias("op"))
+    return with_metadata(spark, sf_dir, "source_ts_ns_order timestamp_ntz, pos bigint, mysql_load_ts timestamp_ntz, mysql_updated_on timestamp_ntz, `__op` string", pl.OP_GATED)
 
 
 @query("target_shape_projection", "select o_orderkey, cast(o_totalprice as decimal(18,2)) as price_txt, date_trunc('second', o_orderdate) as od_iso, cast(o_orderdate as date) as od_day, o_orderkey % 4 < 2 as is_open_bool, cast(o_orderstatus = 'O' as int) as is_open_bit, o_orderdate as od_nano from orders")
@@ -405,14 +438,35 @@ def config_lists(spark, sf_dir):
 
 @query("log_table_name", f"with {CONFIG_SQL} select cdc_table, 'last_run_' || replace(split_part(cdc_table, '.', 1), '_cdc', '') || '_' || split_part(cdc_table, '.', 2) as log_table from c")
 def log_table_name(spark, sf_dir):
-    first = F.replace(F.substring_index("cdc_table", ".", 1), F.lit("_cdc"), F.lit(""))
-    return config_rows(spark).select("cdc_table", F.concat(F.lit("last_run_"), first, F.lit("_"), F.substring_index("cdc_table", ".", -1)).alias("log_table"))
+    return spark.createDataFrame([(r[2], conf.log_table_name(r[2])) for r in CONFIG_ROWS], "cdc_table string, log_table string")
 
 
-@query("name_split", f"with {CONFIG_SQL} select cdc_table, split_part(cdc_table, '.', 1) as database, split_part(cdc_table, '.', 2) as table_name, length(pk) as n_chars, strlen(pk) as n_bytes from c")
+@query("name_split", f"with {CONFIG_SQL} select cdc_table, split_part(cdc_table, '.', 1) as database, split_part(cdc_table, '.', 2) as table_name from c union all select 'bare', null, 'bare'")
 def name_split(spark, sf_dir):
-    c = config_rows(spark)
-    return c.select("cdc_table", F.substring_index("cdc_table", ".", 1).alias("database"), F.substring_index("cdc_table", ".", -1).alias("table_name"), F.char_length("pk").cast("bigint").alias("n_chars"), F.octet_length("pk").cast("bigint").alias("n_bytes"))
+    names = [*(r[2] for r in CONFIG_ROWS), "bare"]
+    return spark.createDataFrame([(n, *conf.split_name(n)) for n in names], "cdc_table string, database string, table_name string")
+
+
+@query("text_lengths", "select n_nationkey, length(n_name) as n_chars, strlen('é' || n_name) as n_bytes, lpad(cast(n_nationkey as varchar), 4, '0') as padded from nation")
+def text_lengths(spark, sf_dir):
+    n = feeds.read(spark, sf_dir, "nation")
+    return n.select("n_nationkey", F.char_length("n_name").cast("bigint").alias("n_chars"), F.octet_length(F.concat(F.lit("é"), "n_name")).cast("bigint").alias("n_bytes"), F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("padded"))
+
+
+@query("config_table", f"with {CONFIG_SQL} select target_database, target_table, cdc_table, pk, coalesce(is_active, 1) as is_active from c")
+def config_table(spark, sf_dir):
+    """The configuration table as the library makes and fills it; a second row for a job is refused."""
+    base = f"{_base(spark)}/control"
+    conf.bootstrap(spark, base)
+    names = ("target_database", "target_table", "cdc_table", "pk", "epoc_cols", "epoc_nano_cols", "is_active")
+    rows = [{k: v for k, v in zip(names, r, strict=True) if v is not None} | {"source_fp": "raw"} for r in CONFIG_ROWS]
+    conf.add(spark, base, rows[:2])
+    conf.add(spark, base, rows[2:])
+    try:
+        conf.add(spark, base, rows[:1])
+    except conf.ConfigError:
+        return conf.read(spark, base).select("target_database", "target_table", "cdc_table", "pk", "is_active")
+    raise AssertionError("a job was added twice")
 
 
 @query("quoted_keys", "select * from (values (1, 'x'), (2, 'y'), (3, null)) as t(id, v)")
@@ -465,18 +519,47 @@ def next_run_id(spark, sf_dir):
     return window.next_run_id(log_rows(spark).withColumn("id", F.expr("cast(substr(id, 2) as bigint)")))
 
 
-@query("run_log_append", f"with {LOG_SQL} select id, run_status, records_inserted from l union all select 'r6', 'SUCCESS', 5")
+def _reports(spark, base: str, name: str, rows) -> None:
+    for id_, cdc, database, end, table, status, inserted, deleted in rows:
+        row = {"id": id_, "run_id": id_, "cdc_table_name": cdc, "target_database": database, "target_table": table, "run_status": status, "records_inserted": inserted, "records_deleted": deleted, "cdc_end_ts": end and datetime.fromisoformat(end)}
+        runlog.append(spark, base, name, row)
+
+
+@query("run_log_append", f"with {LOG_SQL} select id, cdc_table_name, cdc_end_ts, run_status, records_inserted from l union all select 'r6', 'c', timestamp '2024-02-01', 'SUCCESS', 5")
 def run_log_append(spark, sf_dir):
-    return log_rows(spark).select("id", "run_status", "records_inserted").unionByName(spark.createDataFrame([("r6", "SUCCESS", 5)], "id string, run_status string, records_inserted bigint"))
+    """The watermark log as the library makes it and adds to it."""
+    base = f"{_base(spark)}/control"
+    runlog.bootstrap(spark, base)
+    _reports(spark, base, "watermark", [*LOG_ROWS, ("r6", "c", "silver", "2024-02-01", "t", "SUCCESS", 5, 0)])
+    runlog.bootstrap(spark, base)  # what is there stays
+    return runlog.read(spark, base, "watermark").select("id", "cdc_table_name", "cdc_end_ts", "run_status", "records_inserted")
 
 
-@query("run_log_upsert", f"with {LOG_SQL} select id, case id when 'r3' then 'SUCCESS' else run_status end as run_status, case id when 'r3' then 7 else records_inserted end as records_inserted, target_table from l union all select 'r6', 'PENDING', 1, 'v'")
+@query("run_log_upsert", f"with {LOG_SQL} select id as run_id, target_table, case id when 'r3' then 'SUCCESS' else run_status end as run_status, case id when 'r3' then 7 else records_inserted end as records_inserted from l union all select 'r6', 'v', 'PENDING', 1")
 def run_log_upsert(spark, sf_dir):
+    """A run that is reported again has one row, with what the last report says."""
+    base = f"{_base(spark)}/control"
+    runlog.bootstrap(spark, base)
+    _reports(spark, base, "runs", [*LOG_ROWS, ("r3", "c", "silver", None, "t", "SUCCESS", 7, 0), ("r6", "c", "silver", None, "v", runlog.status_name(9), 1, 0)])
+    return runlog.read(spark, base, "runs").select("run_id", "target_table", "run_status", "records_inserted")
+
+
+@query("keyed_upsert", f"with {LOG_SQL} select id, case id when 'r3' then 'SUCCESS' else run_status end as run_status, case id when 'r3' then 7 else records_inserted end as records_inserted, target_table from l union all select 'r6', 'PENDING', 1, 'v'")
+def keyed_upsert(spark, sf_dir):
     runs = log_rows(spark).select("id", "run_status", "records_inserted", "target_table")
     new = spark.createDataFrame([("r3", "SUCCESS", 7, "ignored"), ("r6", runlog.status_name(9), 1, "v")], runs.schema)
     return apply.keyed_upsert(runs, new, ["id"], ["run_status", "records_inserted"])
 
 
+@query("last_run_table", "select 'r9' as id, 'x_cdc.u' as cdc_table_name, 'FAILED' as run_status, cast(4 as bigint) as records_inserted")
+def last_run_table(spark, sf_dir):
+    """A job's own table holds its last run only."""
+    base = f"{_base(spark)}/control"
+    for id_, status, n in (("r7", "SUCCESS", 1), ("r8", "SUCCESS", 2), ("r9", "FAILED", 4)):
+        runlog.write_last(spark, base, {"id": id_, "cdc_table_name": "x_cdc.u", "run_status": status, "records_inserted": n})
+    return runlog.last_table(spark, base, "x_cdc.u").read().select("id", "cdc_table_name", "run_status", "records_inserted")
+
+
 @query("state_upsert_on_true", "select 'r9' as id, 'SUCCESS' as run_status")
 def state_upsert_on_true(spark, sf_dir):
     row = spark.createDataFrame([("r9", "SUCCESS")], "id string, run_status string")
@@ -514,11 +597,21 @@ def _engine(spark, sf_dir, base, log=None):
 
 
 def _base(spark) -> str:
+    """A folder that all executors share; it goes when the application ends."""
     import tempfile
     import uuid
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return f"{shared.rstrip('/')}/engine-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/engine-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
 
 
 ENGINE_SQL = windows_sql("upsert").replace("select * from t3", "select user_id, k, event_type, value from t3")
@@ -539,26 +632,70 @@ def engine_runs(spark, sf_dir):
 @query("stream_available_now", windows_sql("upsert", 1).replace("2024-01-11", "2024-02-01").replace("select * from t1", "select user_id, k, event_type, value from t1"))
 def stream_available_now(spark, sf_dir):
     """The log as files of a stream, by load date in order; each micro-batch is merged into the snapshot."""
-    from ..streaming.available_now import log_stream, run_available
-    from .engine import Options
-
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     base = _base(spark)
     log = feeds.events(spark, sf_dir)
     for n, (lo, hi) in enumerate(zip([window.EPOCH, *ENDS[:2]], ENDS, strict=True)):
         window.in_window(log, lo, hi).coalesce(1).write.mode("append").parquet(f"{base}/landing/part={n}")
+    return _streamed(spark, sf_dir, base)
+
+
+def _streamed(spark, sf_dir, base: str) -> DataFrame:
+    from ..streaming.available_now import log_stream, run_available
+    from .engine import Options
+
     box: dict = {}
 
-    def batch(df, batch_id):
+    def batch(df, of):
         s = df.sparkSession
         eng = _engine(s, sf_dir, base, df.select("data", "load_ts", "load_date"))
-        eng.run("silver", "events", "events_cdc", Options(watermark_policy="max_load_ts"), ENDS[-1], batch=str(batch_id))
+        eng.run("silver", "events", "events_cdc", Options(watermark_policy="max_load_ts"), ENDS[-1], batch=of)
         box["store"] = eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc"))
 
     run_available(log_stream(spark, f"{base}/landing/*"), batch, f"{base}/checkpoint")
     return box["store"].read()
 
 
+LATE_SQL = f"""with {E1}, newest as (select * from e1 where op is not null and {W1.replace("2024-01-11", "2024-02-01")} qualify row_number() over (partition by user_id, k order by ts_ns desc, case when op = 'd' then 1 else 0 end, pos desc) = 1)
+select user_id, k, event_type, value from newest where op <> 'd'"""
+
+
+@query("stream_late_files", LATE_SQL)
+def stream_late_files(spark, sf_dir):
+    """The newest file comes first, then the oldest, then the one between: late changes neither get lost nor overwrite newer ones."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = _base(spark)
+    log = feeds.events(spark, sf_dir)
+    for n, k in enumerate((2, 0, 1)):
+        lo, hi = [window.EPOCH, *ENDS[:2]][k], ENDS[k]
+        window.in_window(log, lo, hi).coalesce(1).write.mode("append").parquet(f"{base}/landing/part={n}")
+    return _streamed(spark, sf_dir, base)
+
+
+@query(
+    "rejected_changes",
+    f"""with {E1}, w as (select *, case pos % 10 when 0 then 'json' when 1 then 'key' when 2 then 'version' when 3 then 'position' end as reason from e1 where load_ts > timestamp '1970-01-01' and load_ts <= timestamp '2024-02-01'),
+    bad as (select reason, count(*) as n from w where reason is not null and (op is not null or reason = 'json') group by 1), f as (select * from w where reason is null and op is not null),
+    newest as (select * from f qualify row_number() over (partition by user_id, k order by ts_ns desc, case when op = 'd' then 1 else 0 end, pos desc) = 1)
+    select reason, n from bad union all select 'logged', sum(n)::bigint from bad union all select 'rows', count(*) from newest where op <> 'd'""",
+)
+def rejected_changes(spark, sf_dir):
+    """Images, keys, versions and positions that don't read are set aside with their reason, and counted in the run's log."""
+    from .engine import Options
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base, log = _base(spark), feeds.events(spark, sf_dir)
+    pos = F.regexp_extract("data", r'"__source_pos":(\d+)', 1).cast("bigint")
+    swap = lambda key, value: F.regexp_replace("data", rf'"{key}":[^,}}]*', f'"{key}":{value}')
+    broken = F.when(pos % 10 == 0, F.concat(F.lit("{"), F.col("data"))).when(pos % 10 == 1, swap("user_id", '"x1"')).when(pos % 10 == 2, swap("__ts_ns", '"soon"')).when(pos % 10 == 3, swap("__source_pos", '"end"')).otherwise(F.col("data"))
+    eng = _engine(spark, sf_dir, base, log.withColumn("data", broken))
+    eng.run("silver", "events", "events_cdc", Options(on_error="quarantine"), ENDS[-1])
+    by_reason = eng.quarantined("silver", "events").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    logged = runlog.read(spark, eng.control, "runs").agg(F.sum("records_rejected").alias("n")).select(F.lit("logged").alias("reason"), "n")
+    rows = eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc")).read().agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("reason"), "n")
+    return by_reason.unionByName(logged).unionByName(rows)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ("target_database", "target_table", "cdc_table")
@@ -21,6 +21,30 @@ class ConfigError(ValueError):
     """The configuration is ambiguous or doesn't fit the target."""
 
 
+def bootstrap(spark: SparkSession, base: str) -> None:
+    """An empty configuration table where there is none."""
+    spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(f"{base}/config")
+
+
+def read(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(f"{base}/config")
+
+
+def add(spark: SparkSession, base: str, rows: list[dict]) -> None:
+    """Adds jobs: the three names, the keys and the source are required, a job is there once, and it is active unless it says otherwise."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    for r in rows:
+        if lost := [c for c in (*KEYS, "pk", "source_fp") if not r.get(c)]:
+            raise ConfigError(f"a job needs {', '.join(lost)}: {r}")
+        if unknown := set(r) - set(names):
+            raise ConfigError(f"no such settings: {sorted(unknown)}")
+    new = spark.createDataFrame([tuple((r | {"is_active": r.get("is_active", 1)}).get(c) for c in names) for r in rows], SCHEMA)
+    twice = read(spark, base).select(*KEYS).unionByName(new.select(*KEYS)).groupBy(*KEYS).count().where("count > 1").first()
+    if twice:
+        raise ConfigError(f"more than one configuration for {twice['target_database']}.{twice['target_table']} from {twice['cdc_table']}")
+    new.coalesce(1).write.mode("append").parquet(f"{base}/config")
+
+
 def clean_list(c: Column) -> Column:
     """Comma-separated text to an array: blanks and newlines go, empty items go, empty text is null."""
     items = F.filter(F.split(F.regexp_replace(c, r"[ \r\n\t]", ""), ","), lambda x: x != "")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 #: Metadata columns that are never read from the payload.
 RESERVED = frozenset(
-    ["source_ts_ns_order", "publish_time", "bq_load_ts", "pos", "bigquery_updated_on", "message_id", "source_ts", "source_db_table", "subscription_name"]
+    ["source_ts_ns_order", "publish_time", "bq_load_ts", "pos", "bigquery_updated_on", "message_id", "source_ts", "source_db_table", "subscription_name", "mysql_load_ts", "mysql_updated_on", "__op"]
 )
 
 
