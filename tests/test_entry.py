@@ -1,5 +1,10 @@
-import importlib
+import json
+import os
+import re
+import shutil
+import subprocess
 import sys
+from pathlib import Path
 
 import __spark_entry__ as entry
 
@@ -13,13 +18,32 @@ def test_names_match():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_works_without_the_optional_parts(monkeypatch):
-    """As if the subpackage and the pipeline were deleted."""
-    real = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if "llm" in name or name == "corpus_pipeline" else real(name, *a))
-    again = importlib.reload(entry)
-    try:
-        assert not again.HAS_LLM and "upsert_merge" in again.queries() and not any(n.startswith("op1_") for n in again.queries())
-    finally:
-        monkeypatch.undo()
-        importlib.reload(sys.modules["__spark_entry__"])
+LIST = "import json, __spark_entry__ as e; print(json.dumps([sorted(e.queries()), sorted(e.oracle_sql())]))"
+
+
+def listed(root, *before: str):
+    code = "; ".join([*before, LIST])
+    got = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+    assert got.returncode == 0, got.stderr
+    return json.loads(got.stdout.splitlines()[-1])
+
+
+def is_llm(name: str) -> bool:
+    return name == "pipeline" or re.match("op[0-9]+_", name) is not None
+
+
+def test_works_without_the_optional_parts(tmp_path):
+    """In a copy, with the subpackage, its tests and the pipeline deleted."""
+    root = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm"))
+    (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    names, sql = listed(copy)
+    assert "upsert_merge" in names and set(sql) <= set(names) and not any(map(is_llm, names))
+    assert names == [n for n in sorted(entry.queries()) if not is_llm(n)]
+
+
+def test_works_without_an_optional_library(tmp_path):
+    """A library that the subpackage needs can't be imported: its queries go, no others."""
+    names, _ = listed(Path(__file__).resolve().parents[1], "import sys", "sys.modules['xxhash'] = None")
+    assert "upsert_merge" in names and not any(map(is_llm, names))
