@@ -40,6 +40,7 @@ MARK = 0x2581
 LITERAL_MARK = 0x110000  # a U+2581 of the text itself: no character has this code
 #: Longer units are filtered in blocks of at least ``BLOCK`` positions, at most about ``BLOCKS`` of them.
 SHORT, BLOCK, BLOCKS = 32, 256, 8192
+_PLACES = np.uint64((1 << 20) - 1)
 #: Text bytes of a batch: its lattice takes about a hundred times as much memory.
 BATCH = 1 << 20
 
@@ -88,9 +89,15 @@ class Vocabulary:
         h = Spans(flat, self.table)(ends - length, ends)
         by = np.argsort(h)
         self.hash, self.id, self.weight = h[by], np.array([i for _, i, _ in pieces])[by], weight[by]
-        self.longest = int(length.max())
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self.hash & np.uint64((1 << 20) - 1)] = True
+        self.longest = int(length.max())  # a state has one edge a length
+        if self.longest > 31:
+            raise ValueError("pieces of more than 31 characters")
+        # rows by their hash's low bits; the few that share a place are found by searching
+        self.place = np.full(1 << 20, -1, np.int32)
+        low = (self.hash & _PLACES).astype(np.int64)
+        self.place[low] = np.arange(len(low))
+        self.shared = np.zeros(1 << 20, bool)
+        self.shared[low[self.place[low] != np.arange(len(low))]] = True
         self.piece_start = np.concatenate([[0], np.cumsum([len(t) for t in self.text_of])])
         self.piece_bytes = np.frombuffer(b"".join(self.text_of), np.uint8)
 
@@ -106,8 +113,12 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are pieces, and their rows in ``id`` and ``weight``."""
-        near = np.flatnonzero(self.maybe[h & np.uint64((1 << 20) - 1)])
-        at = np.minimum(np.searchsorted(self.hash, h[near]), len(self.hash) - 1)
+        low = (h & _PLACES).astype(np.int64)
+        at = self.place[low]
+        near = np.flatnonzero(at >= 0)
+        at, low = at[near].astype(np.int64), low[near]
+        more = np.flatnonzero(self.shared[low])
+        at[more] = np.minimum(np.searchsorted(self.hash, h[near[more]]), len(self.hash) - 1)
         hit = self.hash[at] == h[near]
         return near[hit], at[hit]
 
@@ -145,6 +156,11 @@ def _bytes_of(code: int) -> bytes:
     return chr(code).encode("utf-8", "surrogatepass")
 
 
+def _rank(share: np.ndarray) -> np.ndarray:
+    """Lower for what is likelier, in steps of a billionth."""
+    return ((1 << 30) - 1) - np.minimum((share * (1 << 30)).astype(np.int64), (1 << 30) - 1)
+
+
 def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndarray):
     """Edges of the short units that start at ``start``: states, first edge of each, edge lengths, piece rows (-1: bytes), probabilities summed within a state.
 
@@ -188,7 +204,10 @@ def lattice(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndar
         p = alpha[ue, i - size[e]] * w[e]
         alpha[:, i] = np.bincount(ue, p, n)
         share[e] = p / alpha[ue, i]
-    likely = np.lexsort((-share, at))  # a state's likeliest edge first: few steps to the drawn one
+    # a state's likeliest edge first: few steps to the drawn one; an edge's number in its state ends the key
+    nth = np.arange(len(at)) - first[at]
+    order = np.sort((at << 35) | ((_rank(share)) << 5) | nth)
+    likely = first[order >> 35] + (order & 31)
     size, row, share = size[likely], row[likely], share[likely]
     total = np.concatenate([[0], np.cumsum(share)])
     cumulative = total[1:] - total[first[at]]
@@ -271,7 +290,7 @@ def draw_long(v: Vocabulary, codes: np.ndarray, us: np.ndarray, length: np.ndarr
         p = weight * state[b]
         total = p.sum(axis=1)
         state[b] = np.concatenate([np.ones((len(b), 1)), state[b, :-1] / total[:, None]], axis=1)
-        likely = np.argsort(-p, axis=1, kind="stable")
+        likely = np.argsort(_rank(p / total[:, None]), axis=1, kind="stable")
         cumulative = np.cumsum(np.take_along_axis(p, likely, axis=1) / total[:, None], axis=1)
         u = _random(key[unit[b]], begin[unit[b]] + off + 1)
         edge = np.minimum((cumulative <= u[:, None]).sum(axis=1), (weight > 0).sum(axis=1) - 1)
