@@ -8,12 +8,13 @@ capacity is the sum of its leaves'.  Sharing is exact integer water-filling.
 
 Each leaf then takes whole epochs, and of the last one the prefix of a seeded order of
 its documents that fits the rest of its budget.  The prefix is found without sorting a
-leaf: token sums of 4096 ranges of the order's key, then of 4096 ranges within the one
-where the prefix ends, and only the rows of the last range are ordered.
+leaf: token sums of 64 ranges of the order's key, then of 64 within the one where the prefix
+ends, and so on four times; only the rows of the last range are ordered.  What comes out is
+one row a leaf, and each document is decided by its leaf's row alone.
 
 Defined cases: null and empty texts have no tokens and are never taken; a null language
 or source is a name of its own (``?``); a null key is ordered first; rows with the same
-key and text tie and are taken together or not at all; unlisted names have weight 1; an
+key tie and are taken together or not at all; unlisted names have weight 1; an
 empty table gives an empty table.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .store import durable, fresh
+from .store import durable
 
 TREE = ("domain", "lang", "source")
 
@@ -95,52 +96,78 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return got.select(*TREE, "tokens", F.col("budget").cast("bigint").alias("budget"))
 
 
-def select(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
-    """``(key, domain, lang, source, tokens, epochs)`` of the documents taken at least once, ``_h`` naming the row's text."""
+_LEAF = [f"_{c}" for c in TREE]
+#: Ranges of the order's key: hexadecimal digits in which a document's place is looked for, 64 ranges each.
+_DIGITS = 4
+
+
+def _described(docs: DataFrame, mix: Mix, key: str, *more: Column) -> DataFrame:
+    """Each document's leaf and key, whatever its other columns are called."""
     name = lambda c: F.coalesce(F.col(c), F.lit("?")).alias(c)
-    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
-    rows = docs.select(F.col(key).alias("_id"), name("lang"), name("source"), words.alias("tokens"), F.xxhash64("text").alias("_h"))
-    rows = rows.withColumn("domain", mix.domain())
-    rows = durable(rows.where("tokens > 0"), "mix-rows")
-    got = budgets(rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens")), mix)
-    plan = durable(got.select(*[F.col(c).alias(f"_{c}") for c in TREE], (F.expr("budget div tokens")).alias("whole"), F.expr("budget % tokens").alias("rest")), "mix-plan")
-    leaf = [f"_{c}" for c in TREE]
-    # the seeded order of a leaf's last epoch, which has its own number
-    salted = rows.join(plan, [rows[c] == plan[f"_{c}"] for c in TREE])
+    rows = docs.select(F.col(key).alias("_id"), name("lang"), name("source"), *more)
+    return rows.withColumn("domain", mix.domain())
+
+
+def _placed(rows: DataFrame, of_leaf: DataFrame, mix: Mix) -> DataFrame:
+    """Rows with their leaf's row, and their place in the seeded order of its last epoch, which has its own number."""
+    joined = rows.join(of_leaf, [rows[c] == of_leaf[f"_{c}"] for c in TREE])
     order = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
-    part = lambda at: F.conv(F.substring("o", at, 3), 16, 10).cast("int")
-    salted = salted.withColumn("o", order).withColumn("b1", part(1)).withColumn("b2", part(4))
-
-    def cut(df: DataFrame, by: str, rest: str, parts: list[str]) -> DataFrame:
-        """Per leaf: the first range that the rest doesn't cover whole, and the rest left there."""
-        sums = df.groupBy(*parts, rest, by).agg(F.sum("tokens").alias("s"))
-        w = W.partitionBy(*parts).orderBy(by)
-        sums = sums.withColumn("upto", F.sum("s").over(w))
-        over = sums.where(F.col("upto") > F.col(rest))
-        return over.groupBy(*parts).agg(F.min(F.struct(by, (F.col(rest) - F.col("upto") + F.col("s")).alias("r"))).alias("m")).select(*parts, F.col(f"m.{by}").alias(f"c_{by}"), F.col("m.r").alias(f"r_{by}"))
-
-    first = durable(cut(salted, "b1", "rest", leaf), "mix-cut")
-    edge = salted.join(first, leaf).where(F.col("b1") == F.col("c_b1"))
-    second = durable(cut(edge, "b2", "r_b1", leaf), "mix-cut")
-    last = edge.join(second, leaf).where(F.col("b2") == F.col("c_b2"))
-    upto = W.partitionBy(*leaf).orderBy("o").rangeBetween(W.unboundedPreceding, W.currentRow)
-    inside = last.withColumn("run", F.sum("tokens").over(upto))
-    inside = inside.where(F.col("run") <= F.col("r_b2")).select(*leaf, "o").distinct().groupBy(*leaf).agg(F.max("o").alias("upto_o"))
-    marks = first.join(second, leaf, "left").join(inside, leaf, "left")
-    out = salted.join(marks, leaf, "left")
-    before = F.col("c_b1").isNull() | (F.col("b1") < F.col("c_b1"))  # null: the rest covers every range
-    at_edge = (F.col("b1") == F.col("c_b1")) & (F.col("c_b2").isNull() | (F.col("b2") < F.col("c_b2")) | ((F.col("b2") == F.col("c_b2")) & (F.col("o") <= F.col("upto_o"))))
-    taken = F.coalesce(before | at_edge, F.lit(False))
-    out = out.withColumn("epochs", F.col("whole") + taken.cast("bigint")).where("epochs > 0")
-    return out.select(F.col("_id").alias(key), *TREE, "tokens", "epochs", "_h")
+    joined = joined.withColumn("o", order)
+    bits = F.conv(F.substring("o", 1, 6), 16, 10).cast("int")
+    return joined.withColumns({f"b{k}": F.shiftright(bits, 18 - 6 * k).bitwiseAND(63) for k in range(_DIGITS)})
+
+
+def _marks(rows: DataFrame, mix: Mix) -> DataFrame:
+    """One row a leaf: whole epochs, and where in the order its prefix ends (null: nowhere, all are inside)."""
+    got = budgets(rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens")), mix)
+    marks = durable(got.select(*[F.col(c).alias(f"_{c}") for c in TREE], F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest")), "mix-plan")
+    for k in range(_DIGITS):
+        edge = _placed(rows, marks, mix)
+        for j in range(k):
+            edge = edge.where(F.col(f"b{j}") == F.col(f"c{j}"))
+        sums = edge.groupBy(*_LEAF, "rest", f"b{k}").agg(F.sum("tokens").alias("s"))
+        upto = F.sum("s").over(W.partitionBy(*_LEAF).orderBy(f"b{k}"))
+        over = sums.withColumn("upto", upto).where("upto > rest")
+        # the first range that the rest doesn't cover whole, and the rest left there
+        first = over.groupBy(*[F.col(c).alias(f"_{c}") for c in _LEAF]).agg(F.min(F.struct(f"b{k}", (F.col("rest") - F.col("upto") + F.col("s")).alias("r"))).alias("m"))
+        joined = marks.join(first, [marks[c] == first[f"_{c}"] for c in _LEAF], "left")
+        marks = durable(joined.select(*_LEAF, "whole", F.coalesce("m.r", "rest").alias("rest"), *[f"c{j}" for j in range(k)], F.col(f"m.b{k}").alias(f"c{k}")), "mix-plan")
+    last = _placed(rows, marks, mix)
+    for j in range(_DIGITS):
+        last = last.where(F.col(f"b{j}") == F.col(f"c{j}"))
+    run = F.sum("tokens").over(W.partitionBy(*_LEAF).orderBy("o").rangeBetween(W.unboundedPreceding, W.currentRow))
+    inside = last.withColumn("run", run).where("run <= rest").groupBy(*[F.col(c).alias(f"_{c}") for c in _LEAF]).agg(F.max("o").alias("upto_o"))
+    joined = marks.join(inside, [marks[c] == inside[f"_{c}"] for c in _LEAF], "left")
+    return durable(joined.select(*_LEAF, "whole", *[f"c{j}" for j in range(_DIGITS)], "upto_o"), "mix-plan")
+
+
+def _taken(rows: DataFrame, marks: DataFrame, mix: Mix) -> DataFrame:
+    """Rows with how often they are taken, those that are."""
+    rows = _placed(rows, marks, mix)
+    inside, same = F.lit(False), F.lit(True)
+    for k in range(_DIGITS):
+        b, c = F.col(f"b{k}"), F.col(f"c{k}")
+        inside, same = inside | (same & (c.isNull() | (b < c))), same & (b == c)
+    inside = inside | (same & (F.col("o") <= F.col("upto_o")))
+    return rows.withColumn("epochs", F.col("whole") + F.coalesce(inside, F.lit(False)).cast("bigint")).where("epochs > 0")
+
+
+def _words(docs: DataFrame) -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("tokens")
+
+
+def select(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
+    """``(key, domain, lang, source, tokens, epochs)`` of the documents taken at least once."""
+    rows = durable(_described(docs, mix, key, _words(docs)).where("tokens > 0"), "mix-rows")
+    return _taken(rows, _marks(rows, mix), mix).select(F.col("_id").alias(key), *TREE, "tokens", "epochs")
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
-    """The documents taken, each as often as it was."""
-    k, h, n, e = (fresh(docs, x) for x in ("key_of", "text_hash", "times", "time"))
-    got = select(docs, mix, key).groupBy(F.col(key).alias(k), F.col("_h").alias(h)).agg(F.max("epochs").alias(n))
-    out = docs.join(got, docs[key].eqNullSafe(F.col(k)) & (F.xxhash64(docs["text"]) == F.col(h)))
-    return out.withColumn(e, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n)))).drop(k, h, n, e)
+    """The documents taken, each as often as it was; decided as they are scanned, by the small table of leaves."""
+    rows = durable(_described(docs, mix, key, _words(docs)).where("tokens > 0"), "mix-rows")
+    whole = _described(docs, mix, key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).where(F.col("_doc.text").rlike(r"[^\x20\x09-\x0D]"))
+    got = _taken(whole, _marks(rows, mix), mix)
+    return got.select("_doc", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("epochs")))).select("_doc.*")
 
 
 ORACLE = r"""

@@ -19,7 +19,7 @@ def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.select(table(spark, sf_dir, "documents")).drop("_h")
+    return mixing.select(table(spark, sf_dir, "documents"))
 
 
 def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
