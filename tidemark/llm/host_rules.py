@@ -26,8 +26,8 @@ from .textbytes import SPACE, Spans, chunks, mix, per_row, within, words
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
-#: Parts that a host's documents are dealt over to meet its verdict.
-PARTS = 64
+#: A host with more than one in ``HOT`` documents is hot, so there are fewer than ``HOT`` of them.
+HOT = 1000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -122,14 +122,21 @@ class HostRules:
         counted = durable(text_counts(docs, [key, host]), "host-counts")
         hosts = self.host_table(counted, host)
         worst = F.greatest(*[F.col(f"r_{k}") for k in self.rules], F.lit(0.0))
-        # a host's documents are dealt over some parts, and its verdict goes to each of them
-        verdict = hosts.select(F.col(host).alias("_host"), worst.alias("host_rate"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_to"))
-        counted = counted.withColumn("_part", F.pmod(F.xxhash64(key, *COUNTS), F.lit(PARTS)).cast("int"))
+        verdict = durable(hosts.select(F.col(host).alias("_host"), "n", worst.alias("host_rate")), "host-verdicts")
+        total = verdict.agg(F.sum("n").alias("_all"))  # one row
+        sized = verdict.crossJoin(F.broadcast(total))
+        hot = sized.where(F.col("n") * HOT > F.col("_all")).select(F.col("_host").alias("_hot"), F.col("host_rate").alias("_hot_rate"))
+        other = sized.where(F.col("n") * HOT <= F.col("_all")).select("_host", "host_rate", F.lit(0).alias("_to"))
+        # hot hosts' verdicts go to every task; their documents, and those without a host, are spread over the exchange that the others need
+        out = counted.join(F.broadcast(hot), counted[host] == F.col("_hot"), "left")
+        settled = F.col("_hot").isNotNull() | F.col(host).isNull()
+        out = out.withColumn("_mine", F.when(~settled, F.col(host))).withColumn("_part", F.when(settled, 1 + F.pmod(F.xxhash64(key, *COUNTS), F.lit(HOT))).otherwise(0).cast("int"))
+        out = out.join(other, (F.col("_mine") == F.col("_host")) & (F.col("_part") == F.col("_to")), "left")
         failed = F.lit(False)
         for k in self.base:
             failed = failed | self.rules[k]
-        out = counted.join(verdict, (counted[host] == F.col("_host")) & (F.col("_part") == F.col("_to")), "left").withColumn("base_failed", failed)
-        return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= self.max_rate)).drop("_host", "_part", "_to")
+        out = out.withColumn("host_rate", F.coalesce("_hot_rate", "host_rate")).withColumn("base_failed", failed)
+        return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= self.max_rate)).drop("_host", "_hot", "_hot_rate", "_mine", "_part", "_to")
 
 
 ORACLE = r"""
