@@ -39,12 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out
-from .store import arrow_rows, durable, shared_dir
+from .store import ARROW_ROWS, arrow_rows, durable, shared_dir
 from .textbytes import LOWER, Spans, chunks, mix, release, words
 
 DISCOUNT = 0.75
 #: Tokens of a chunk and of a shard, and steps of a quantised log10 value.
 CHUNK_TOKENS, SHARD_TOKENS, STEPS = 800_000, 1_000_000, 2000
+#: Input of a bucket of chunks.
+BUCKET_BYTES = 1 << 25
+#: Spark's own bound of buckets.
+MOST_BUCKETS = 100_000
 START, STOP, PAD = (mix(np.array([k], np.uint64))[0] for k in (11, 12, 13))
 _U = np.uint64
 
@@ -657,7 +661,11 @@ def _score(n: int, v: int, shards: int, hot: np.ndarray, key: str):
 def scores(docs: DataFrame, key: str = "doc_id", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """``(key, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every whole text; ``key`` is a whole number."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many buckets as the input needs, where its size is known, and at least what the session shuffles into
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES) if size < 1 << 50 else 0)
+    buckets = min(buckets, MOST_BUCKETS)
+    batch = spark.conf.get(ARROW_ROWS)
     arrow_rows(spark)
     src = docs.select(F.col(key).cast("bigint").alias("key"), held_out(key, 7).alias("out"), "text")
     # chunks are bucketed by their number, so that what comes back to them moves and they don't
@@ -687,5 +695,5 @@ def scores(docs: DataFrame, key: str = "doc_id", shard_tokens: int = SHARD_TOKEN
         done = known.join(listed(answered, "codes"), "key").mapInArrow(_score(n, v, shards, hot, key), f"`{key}` bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
         return durable(done, "lm-scores")
     finally:
-        arrow_rows(spark)
+        spark.conf.set(ARROW_ROWS, batch)
         spark.sql(f"drop table if exists {name}")

@@ -16,6 +16,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """This application's folder in the shared one; it goes when the application ends."""
     sc = spark.sparkContext
@@ -78,7 +81,7 @@ def arrow_rows(spark: SparkSession, rows: int = 2000) -> None:
     """Before Python runs on the executors: ships the package, and bounds an Arrow batch by
     rows, so that very long texts don't add up in a worker."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set(ARROW_ROWS, str(rows))
 
 
 def with_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -34,6 +34,8 @@ BUCKETS = 1 << 17
 PREFIXES = (6, 8)
 #: Training rows of each class, at most about twice as many.
 BOUNDS = {1: 2000, 0: 4000}
+#: Words of all training texts: what the driver holds is at most 12 bytes a word, whatever the texts' lengths.
+MAX_WORDS = 8_000_000
 WIDTHS = (1, 2, 3)
 
 
@@ -214,9 +216,25 @@ def _lists(docs: DataFrame, extra: list[str]) -> DataFrame:
     return src.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.select(*extra).schema), "ids array<int>"]))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", bounds: dict[int, int] = BOUNDS) -> Model:
-    """From a bounded sample of the training rows, on the driver."""
-    got = _lists(sample(docs.select(key, "lang", "text"), labels, label, bounds, key), [key, "y", "lang"]).toArrow().sort_by(key)
+def within_words(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """Of a bounded sample, rows in the order of their key's hash whose words are ``most`` at most, all together; a longer one is passed over."""
+    words_ = F.coalesce(F.regexp_count("text", F.lit("[0-9A-Za-z\u0080-\U0010FFFF]+")), F.lit(0)).alias("n")
+    sizes = rows.select(key, words_, F.xxhash64(F.lit(3), key).alias("h")).collect()  # rows are bounded
+    kept, left = [], most
+    for r in sorted(sizes, key=lambda r: (r["h"], str(r[key]))):
+        if r["n"] <= left:
+            kept.append((r[key],))
+            left -= r["n"]
+    if len(kept) == len(sizes):
+        return rows
+    few = rows.sparkSession.createDataFrame(kept, rows.select(F.col(key).alias("_k")).schema).distinct()
+    return rows.join(F.broadcast(few), rows[key] == F.col("_k"), "left_semi")
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", bounds: dict[int, int] = BOUNDS, max_words: int = MAX_WORDS) -> Model:
+    """From a sample of the training rows, bounded by rows and by words, on the driver."""
+    some = within_words(sample(docs.select(key, "lang", "text"), labels, label, bounds, key), key, max_words)
+    got = _lists(some, [key, "y", "lang"]).toArrow().sort_by(key)
     if not got.num_rows:
         return fit([], np.zeros(0, np.int64), [])
     lists = got.combine_chunks().column("ids").chunk(0)
