@@ -44,7 +44,9 @@ def envelope(log: DataFrame, keys: list[tuple[str, str, str]], profile: str = UP
     ``keys``: (column, JSON key, type).  ``op_gated`` reads a JSON null operation as the
     text ``null``, which is no delete; ``upsert`` drops such rows later on.
     """
-    v = log.withColumn("_v", parsed(F.col("data"), safe))
+    # through a generator, since a filter on what is read from the image would be pushed to the
+    # scan with a parse of its own for each field that it names
+    v = log.select("*", F.inline(F.array(F.struct(parsed(F.col("data"), safe).alias("_v")))))
     op = get(F.col("_v"), "__op", "string")
     if profile == OP_GATED:
         there = F.is_variant_null(F.variant_get(F.col("_v"), path("__op"), "variant"))

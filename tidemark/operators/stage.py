@@ -50,9 +50,10 @@ def changes(log: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
     # the same order as ``latest``: nulls are lowest in a struct comparison
     rank = F.struct("_ts_ns", "_pos", "load_ts", F.xxhash64("data"))
     best = lambda cond: F.max_by(F.when(cond, row), F.when(cond, rank))
-    op, log = F.col("_op"), log.where(F.col("_op").isNotNull())
-    more, sound = [], F.lit(True)
-    if "_bad" in log.columns:  # their keys may be anything: nulls keep them together
+    op, more, sound = F.col("_op"), [], F.lit(True)
+    if "_bad" not in log.columns:
+        log = log.where(op.isNotNull())
+    else:  # their keys may be anything: nulls keep them together
         sound = F.col("_bad").isNull()
         log = log.select(*[F.when(sound, F.col(k)).alias(k) if k in keys else F.col(k) for k in log.columns])
         more = ["_bad"]

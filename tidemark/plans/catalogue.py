@@ -196,9 +196,10 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, pos from l wh
 def dedup_lineitem(spark, sf_dir):
     keys = [("l_orderkey", "l_orderkey", "bigint"), ("l_linenumber", "l_linenumber", "int")]
     log = pl.envelope(feeds.lineitem(spark, sf_dir), keys)
-    v = F.col("_v")
-    image = [pl.get(v, c, t).alias(c) for c, t in (("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_quantity", "double"))]
-    return stage.latest_upserts(log, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", *image, F.col("_pos").alias("pos"))
+    image = [pl.get(F.col("_v"), c, t).alias(c) for c, t in (("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_quantity", "double"))]
+    envelope = ["_op", "_ts_ns", "_pos", "load_ts", "data"]
+    log = log.select("l_orderkey", "l_linenumber", *image, *envelope)  # typed before the shuffle: every row is wanted
+    return stage.latest_upserts(log, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.col("_pos").alias("pos"))
 
 
 # --- merge ---------------------------------------------------------------------------
@@ -262,7 +263,7 @@ def three_window_upsert(spark, sf_dir):
 
 @query("three_window_op_gated", windows_sql("op_gated"))
 def three_window_op_gated(spark, sf_dir):
-    return replay(spark, sf_dir, pl.OP_GATED)
+    return replay(spark, sf_dir, pl.OP_GATED, fused=True)
 
 
 @query("three_window_upsert_fused", windows_sql("upsert"))

@@ -91,12 +91,12 @@ def stages(log: DataFrame, cfg: conf.JobConfig, target: T.StructType, run_ts: da
     typed = [(k, cfg.json_key_overrides.get(k, k), target[k].dataType.simpleString()) for k in keys]
     rows = envelope(log, typed, opt.profile, safe=opt.on_error != "fail")
     cols, now = specs(target, skip_reserved=False), window.ntz(run_ts)
-    # a change without an operation isn't applied whatever it holds; without an image there is none to see
+    # a change without an operation isn't applied, whatever it holds; without an image there is none to see
+    rows = rows.where(F.col("_op").isNotNull() | F.col("_v").isNull())
     bad = rejected(typed, opt.allow_null_pk)
     if opt.on_error == "quarantine":
         bad = F.coalesce(bad, F.when(unreadable(F.col("_v"), cols, cfg, now, opt.profile, tuple(keys)), "value"))
-    rows = rows.withColumn("_bad", F.when(F.col("_op").isNotNull() | F.col("_v").isNull(), bad))
-    rows = rows.withColumn("_op", F.when(F.col("_bad").isNotNull(), F.coalesce("_op", F.lit("?"))).otherwise(F.col("_op")))
+    rows = rows.withColumn("_bad", bad)
     more = [c for c in log.columns if c.lower() in {f.name.lower() for f in target.fields} - {k.lower() for k in keys} and c not in ("data", "load_ts")]
     carry = ["_v", *[F.col(f"`{c}`").alias(f"_log_{c}") for c in more]]
     if opt.fused:
