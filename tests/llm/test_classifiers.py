@@ -194,3 +194,12 @@ def test_training_is_bounded_by_words(docs, labels):
     assert kept < set(sizes) and 3000 < sum(sizes[i] for i in kept) <= 5000
     assert toxicity.within_words(some, "doc_id", 10**9).count() == len(sizes)
     assert toxicity.train(docs, labels, max_words=5000).filters
+
+
+def test_prior_counts_all_documents(docs, labels):
+    m = quality.train(docs, labels)
+    t = np.quantile([0.0, 1.0], [0.1, 0.5, 0.9])
+    data, offs = column(__import__("pyarrow").array([r.text for r in docs.collect()]))
+    logits = m.logits(quality.features(data, offs))
+    above, n = quality.count_above(docs.repartition(5), m, t)
+    assert n == docs.count() and above.tolist() == [(logits >= x).sum() for x in t]

@@ -21,18 +21,20 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    # minima are written, so that the joins read them through an exchange of their own and a hub's side can be split
     before = seen(now)
     while True:
         both = now.union(now.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        low = both.groupBy("a").agg(F.min("b").alias("m"))
+        low = durable(low.select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "minima")
         large = both.join(low, both["a"] == low["n"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # large holds (neighbour, minimum) with minimum <= a < neighbour: each row points down already
         large = durable(large.distinct(), "large-star")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        pairs = large.join(low.withColumnRenamed("a", "n"), large["a"] == F.col("n"))
+        low2 = durable(large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")), "minima")
+        pairs = large.join(low2, large["a"] == F.col("n"))
         small = pairs.select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b")
         past, now = now, durable(small.distinct(), "small-star")
-        discard(past, large)
+        discard(past, low, large, low2)
         mark = seen(now)
         if mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -6,6 +6,11 @@ non-negative unbiased risk  pi R+(+1) + max(0, Ru(-1) - pi R+(-1)),  where pi, t
 of good text among the unlabelled, is estimated: the smallest ratio, over thresholds,
 of the unlabelled to the positives that score above it.  No negative label is used.
 
+The network is fitted on bounded samples (``POSITIVES``, ``UNLABELLED``), the unlabelled
+ones from all documents, held-out texts included, since no label of theirs is read.  The
+final estimate of pi scores every document, in one pass that counts them between
+thresholds.
+
 Defined cases: null and empty texts have their own numbers (no words) and a score;
 repeated rows get equal scores; without positives or unlabelled text every score is 0.5;
 texts of any length are read whole.
@@ -13,6 +18,7 @@ texts of any length are read whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -126,18 +132,28 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float, mean: np.ndarray, scale
     return Model(mean, scale, par[0], par[1], par[2], float(par[3][0]), prior)
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """Best-bin estimate: the smallest upper bound, over thresholds, of unlabelled over positives above them."""
-    p, u = np.sort(p), np.sort(u)
+def thresholds(p: np.ndarray, most: int = 256) -> np.ndarray:
+    """Scores of the positives that the estimate of the prior looks at, rising; the highest tenth is too few."""
+    p = np.sort(p)
     t = p[: max(1, int(0.9 * len(p)))]
-    qp = 1 - np.searchsorted(p, t, "left") / len(p)
-    qu = 1 - np.searchsorted(u, t, "left") / len(u)
-    slack = np.sqrt(np.log(20) / (2 * len(u))) + np.sqrt(np.log(20) / (2 * len(p)))
+    return np.unique(t[np.linspace(0, len(t) - 1, min(most, len(t))).astype(int)])
+
+
+def prior_of(p: np.ndarray, t: np.ndarray, above: np.ndarray, n: int) -> float:
+    """Best-bin estimate: the smallest upper bound, over thresholds, of unlabelled (``above`` of ``n``) over positives at or above them."""
+    qp, qu = 1 - np.searchsorted(np.sort(p), t, "left") / len(p), above / n
+    slack = np.sqrt(np.log(20) / (2 * n)) + np.sqrt(np.log(20) / (2 * len(p)))
     best = np.argmin((qu + slack) / qp)
     return float(np.clip(qu[best] / qp[best], 0.02, 0.98))
 
 
-def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, epochs: int = 25, seed: int = 7) -> Model:
+def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
+    t = thresholds(p)
+    return prior_of(p, t, len(u) - np.searchsorted(np.sort(u), t, "left"), len(u))
+
+
+def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, epochs: int = 25, seed: int = 7, everywhere: Callable[[Model, np.ndarray], tuple[np.ndarray, int]] | None = None) -> Model:
+    """``everywhere``: how many of all texts a model scores at or above each threshold, and how many there are; else the sample stands for them."""
     both = np.concatenate([p, u]) if len(p) + len(u) else np.zeros((1, p.shape[1]))
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-3
     if not len(p) or not len(u):
@@ -145,13 +161,32 @@ def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, epochs: int = 25, seed:
     rng = np.random.default_rng(seed)
     hold_p, hold_u = rng.random(len(p)) < 0.3, rng.random(len(u)) < 0.3
     prior = 0.5
-    for _ in range(2):  # a first estimate to learn with, then a better one
+    for last in (False, True):  # a first estimate to learn with, then a better one
         m = _descend(p[~hold_p], u[~hold_u], prior, mean, scale, hidden, max(5, epochs // 2), seed)
-        if hold_p.any() and hold_u.any():
+        if hold_p.any() and last and everywhere is not None:
+            own = m.logits(p[hold_p])
+            prior = prior_of(own, t := thresholds(own), *everywhere(m, t))
+        elif hold_p.any() and hold_u.any():
             prior = estimate_prior(m.logits(p[hold_p]), m.logits(u[hold_u]))
     return _descend(p, u, prior, mean, scale, hidden, epochs, seed + 1)
 
 
+def count_above(docs: DataFrame, model: Model, t: np.ndarray) -> tuple[np.ndarray, int]:
+    """Of all documents, how many score at or above each threshold, and how many there are: a short histogram a task, summed."""
+
+    def run(batches):
+        total = np.zeros(len(t) + 1, np.int64)
+        for _, data, offs in chunks(batches):
+            total += np.bincount(np.searchsorted(t, model.logits(features(data, offs)), "right"), minlength=len(t) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["bin", "n"])
+
+    got = docs.select("text").mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # at most 257 rows
+    n = np.zeros(len(t) + 1, np.int64)
+    for r in got:
+        n[r["bin"]] = r["n"]
+    return np.cumsum(n[::-1])[::-1][1:], int(n.sum())
+
+
 def _matrix(docs: DataFrame, key: str) -> np.ndarray:
     def run(batches):
         for rows, data, offs in chunks(batches):
@@ -167,10 +202,10 @@ def _matrix(docs: DataFrame, key: str) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """From bounded samples, on the driver; the unlabelled ones are of all documents."""
+    """From bounded samples, on the driver; the class prior from all documents."""
     p = _matrix(sample(docs.select(key, "text"), labels, label, {1: positives}, key), key)
     u = _matrix(thinned(docs.where(F.col(key).isNotNull()), key, unlabelled, 5), key)
-    return fit(p, u)
+    return fit(p, u, everywhere=lambda model, t: count_above(docs, model, t))
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", limit: float = 0.7) -> DataFrame:
