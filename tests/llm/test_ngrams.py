@@ -19,6 +19,11 @@ def test_elias_fano(universe):
         q = np.concatenate([v, rng.integers(0, universe, 200, dtype=np.uint64)])
         at, hit = e.find(q)
         assert (hit == np.isin(q, v)).all() and (at[hit] == np.searchsorted(v, q)[hit]).all()
+        few = ng.EliasFano.of(v, universe)  # one at a time, without reading all positions
+        for x in q[::7]:
+            (at,), (hit,) = few.find(np.array([x]))
+            assert hit == (x in v) and (not hit or v[at] == x)
+        assert n < 9 or not few._all
 
 
 def test_trie():

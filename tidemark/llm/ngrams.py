@@ -87,6 +87,16 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
         self.n, self.low_bits, self.low, self.high, self.ones, self.zeros = n, low_bits, low, high, ones, zeros
+        self._all: dict[bool, np.ndarray] = {}
+
+    def _place(self, k: np.ndarray, flip: bool) -> np.ndarray:
+        """Position of the k-th one (or zero): many at once are read off all of them, few are searched for."""
+        if len(k) * 8 < self.n and flip not in self._all:
+            return _select(self.high, self.zeros if flip else self.ones, k, flip)
+        if flip not in self._all:
+            bits = np.unpackbits(self.high.view(np.uint8), bitorder="little").view(bool)
+            self._all[flip] = np.flatnonzero(~bits if flip else bits)
+        return self._all[flip][k]
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -120,7 +130,7 @@ class EliasFano:
         return out & _U((1 << self.low_bits) - 1)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
-        high = _select(self.high, self.ones, i, False) - i
+        high = self._place(i, False) - i
         return (high.astype(_U) << _U(self.low_bits)) | self._low(i)
 
     def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +139,8 @@ class EliasFano:
             return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
         h = (x >> _U(self.low_bits)).astype(np.int64)
         xl = x & _U((1 << self.low_bits) - 1)
-        a = np.where(h > 0, _select(self.high, self.zeros, np.maximum(h - 1, 0), True) - np.maximum(h - 1, 0), 0)
-        b = _select(self.high, self.zeros, h, True) - h
+        a = np.where(h > 0, self._place(np.maximum(h - 1, 0), True) - np.maximum(h - 1, 0), 0)
+        b = self._place(h, True) - h
         at, end = a, b.copy()
         live = np.flatnonzero(at < end)
         while len(live):  # halving: where values crowd, many have the same high bits
