@@ -630,6 +630,54 @@ def engine_runs(spark, sf_dir):
     return eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc")).read()
 
 
+@query("preview_stage", f"with {E1}, {I1}, {D1}, {A1} select 'I' as kind, user_id, k, event_type, value, ts_ns from i1 union all select 'D', user_id, k, null, null, ts_ns from a1")
+def preview_stage(spark, sf_dir):
+    """What the next run would apply; the target stays as it is."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    eng = _engine(spark, sf_dir, _base(spark))
+    got = eng.preview("silver", "events", "events_cdc", end=ENDS[0])
+    if eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc")).current().version:
+        raise AssertionError("a preview changed the target")
+    i = got.upserts.select(F.lit("I").alias("kind"), *KEYS, "event_type", "value", F.col("_ts_ns").alias("ts_ns"))
+    return i.unionByName(got.deletes.select(F.lit("D").alias("kind"), *KEYS, F.col("_ts_ns").alias("ts_ns")), allowMissingColumns=True)
+
+
+@query("failed_run", f"with {E1}, {I1}, {D1}, {A1}, {T1} select 'FAILED' as run_status, 'key' as names, (select count(*) from t1) as target_rows union all select 'SUCCESS', null, (select count(*) from t1)")
+def failed_run(spark, sf_dir):
+    """A run that meets a key that doesn't read is logged with its error, raises it, and leaves the target as the run before made it."""
+    from .engine import MergeError
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base, log = _base(spark), feeds.events(spark, sf_dir)
+    _engine(spark, sf_dir, base, log).run("silver", "events", "events_cdc", end=ENDS[0])
+    late = F.col("load_ts") > window.ntz(ENDS[0])
+    eng = _engine(spark, sf_dir, base, log.withColumn("data", F.when(late, F.regexp_replace("data", r'"user_id":\d+', '"user_id":"x"')).otherwise(F.col("data"))))
+    try:
+        eng.run("silver", "events", "events_cdc", end=ENDS[1])
+    except MergeError:
+        rows = eng.store(conf.lookup(eng.config, "silver", "events", "events_cdc")).read().agg(F.count(F.lit(1)).alias("target_rows"))
+        runs = runlog.read(spark, eng.control, "runs").select("run_status", F.nullif(F.regexp_extract("error_msg", "'(key)'", 1), F.lit("")).alias("names"))
+        return runs.crossJoin(F.broadcast(rows))
+    raise AssertionError("the run should have failed")
+
+
+@query("commit_conflict", "select n_nationkey, n_name, 1 as version from nation")
+def commit_conflict(spark, sf_dir):
+    """Of two commits on the same version the first stands, and the second is refused and leaves nothing behind."""
+    from ..sources.store import CommitConflict, SnapshotStore
+
+    rows = feeds.read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    s = SnapshotStore(spark, f"{_base(spark)}/nation")
+    before = s.create(rows.schema, keys=["n_nationkey"], buckets=4)
+    s.commit(before, rows)
+    try:
+        s.commit(before, rows.withColumn("n_name", F.lit("other")))
+    except CommitConflict:
+        now = s.current()
+        return s.read(now).withColumn("version", F.lit(len([n for n in s.fs.names() if n.startswith("v")])).cast("int"))
+    raise AssertionError("both commits went through")
+
+
 @query("stream_available_now", windows_sql("upsert", 1).replace("2024-01-11", "2024-02-01").replace("select * from t1", "select user_id, k, event_type, value from t1"))
 def stream_available_now(spark, sf_dir):
     """The log as files of a stream, by load date in order; each micro-batch is merged into the snapshot."""
