@@ -8,8 +8,8 @@ capacity is the sum of its leaves'.  Sharing is exact integer water-filling.
 
 Each leaf then takes whole epochs, and of the last one the prefix of a seeded order of
 its documents that fits the rest of its budget.  The prefix is found without sorting a
-leaf: token sums of 64 ranges of the order's key, then of 64 within the one where the prefix
-ends, and so on four times; only the rows of the last range are ordered.  What comes out is
+leaf: token sums of 256 ranges of the order's key, then of 256 within the one where the prefix
+ends, and so on three times; only the rows of the last range are ordered.  What comes out is
 one row a leaf, and each document is decided by its leaf's row alone.
 
 Defined cases: null and empty texts have no tokens and are never taken; a null language
@@ -97,8 +97,8 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
 
 
 _LEAF = [f"_{c}" for c in TREE]
-#: Ranges of the order's key: hexadecimal digits in which a document's place is looked for, 64 ranges each.
-_DIGITS = 4
+#: Bytes of the order's key in which a prefix's end is looked for, 256 ranges each.
+_DIGITS = 3
 
 
 def _described(docs: DataFrame, mix: Mix, key: str, *more: Column) -> DataFrame:
@@ -114,7 +114,7 @@ def _placed(rows: DataFrame, of_leaf: DataFrame, mix: Mix) -> DataFrame:
     order = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
     joined = joined.withColumn("o", order)
     bits = F.conv(F.substring("o", 1, 6), 16, 10).cast("int")
-    return joined.withColumns({f"b{k}": F.shiftright(bits, 18 - 6 * k).bitwiseAND(63) for k in range(_DIGITS)})
+    return joined.withColumns({f"b{k}": F.shiftright(bits, 16 - 8 * k).bitwiseAND(255) for k in range(_DIGITS)})
 
 
 def _marks(rows: DataFrame, mix: Mix) -> DataFrame:
