@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     seen = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     # minima are written, so that the joins read them through an exchange of their own and a hub's side can be split
     before = seen(now)
-    while True:
+    while before[0]:
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         low = durable(low.select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "minima")
@@ -37,5 +37,6 @@ def components(edges: DataFrame) -> DataFrame:
         discard(past, low, large, low2)
         mark = seen(now)
         if mark == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            break
         before = mark
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -45,6 +45,8 @@ from .textbytes import LOWER, Spans, chunks, mix, release, words
 DISCOUNT = 0.75
 #: Tokens of a chunk and of a shard, and steps of a quantised log10 value.
 CHUNK_TOKENS, SHARD_TOKENS, STEPS = 800_000, 1_000_000, 2000
+#: N-grams searched at once.
+ASKED = 1 << 18
 #: Input of a bucket of chunks.
 BUCKET_BYTES = 1 << 25
 #: Spark's own bound of buckets.
@@ -95,8 +97,8 @@ class EliasFano:
             return _select(self.high, self.zeros if flip else self.ones, k, flip)
         if flip not in self._all:
             bits = np.unpackbits(self.high.view(np.uint8), bitorder="little").view(bool)
-            self._all[flip] = np.flatnonzero(~bits if flip else bits)
-        return self._all[flip][k]
+            self._all[flip] = np.flatnonzero(~bits if flip else bits).astype(np.uint32 if len(bits) < 1 << 32 else np.int64)
+        return self._all[flip][k].astype(np.int64)
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -291,8 +293,9 @@ class Trie:
     def query(self, first: np.ndarray, pair_of: np.ndarray, second: np.ndarray, of: np.ndarray, third: np.ndarray) -> list[np.ndarray]:
         """The codes of each asked context, pair and triple (laid out as in the constructor); 0 for what isn't there."""
         a = self.contexts(first)
-        b = self.pairs.find(a[pair_of], second)
-        c = self.triples.find(b[of], third)
+        parts = lambda n: (slice(k, k + ASKED) for k in range(0, n, ASKED))  # noqa: E731  bounded intermediate arrays
+        b = np.concatenate([self.pairs.find(a[pair_of[x]], second[x]) for x in parts(len(second))] or [a[:0]])
+        c = np.concatenate([self.triples.find(b[of[x]], third[x]) for x in parts(len(third))] or [a[:0]])
         at = lambda codes, k: np.where(k >= 0, codes[np.maximum(k, 0)], 0).astype(np.uint16) if len(codes) else np.zeros(len(k), np.uint16)
         return [at(self.codes[0], a), at(self.codes[1], b), at(self.codes[2], b), at(self.codes[3], c)]
 
@@ -537,9 +540,9 @@ class Request:
     def __init__(self, data):
         steps, total, warm, hot, first, pairs, second, words_, third, train = unpack(data)
         self.ids = np.cumsum(steps, dtype=_U)
-        self.first, self.second, self.third = (x.astype(np.int64) for x in (first, second, third))
-        self.warm, self.hot, self.total, self.train = warm.astype(bool), hot.astype(bool), total.astype(np.int64), train.astype(np.int64)
-        self.pair_of, self.of = np.repeat(np.arange(len(first)), pairs), np.repeat(np.arange(len(second)), words_)
+        self.first, self.second, self.third, self.train, self.total = first, second, third, train, total
+        self.warm, self.hot = warm.astype(bool), hot.astype(bool)
+        self.pair_of, self.of = (np.repeat(np.arange(len(x), dtype=np.int32), n) for x, n in ((first, pairs), (second, words_)))
 
 
 class Shard:
@@ -553,10 +556,15 @@ class Shard:
             name = number[at : at + len(r.ids)]
             at += len(r.ids)
             rows.append((name[r.first[r.pair_of]] * m + name[r.second], name[r.third], r.of, r.warm[r.pair_of], r.hot, r.total[r.pair_of]))
-        pair, self.pair_back = np.unique(np.concatenate([x[0] for x in rows]), return_inverse=True)
+        pair, pair_back = np.unique(np.concatenate([x[0] for x in rows]), return_inverse=True)
+        self.pair_back = pair_back.astype(np.int32)
         ends = np.cumsum([0, *(len(x[0]) for x in rows)])
-        triple = np.concatenate([self.pair_back[e + x[2]] * m + x[1] for x, e in zip(rows, ends, strict=False)])
-        triple, self.back = np.unique(triple, return_inverse=True)
+        triple = np.concatenate([pair_back[e + x[2]] * m + x[1] for x, e in zip(rows, ends, strict=False)])
+        warm, hot, total = (np.concatenate([x[i] for x in rows]) for i in (3, 4, 5))
+        del rows, pair_back, number
+        triple, back = np.unique(triple, return_inverse=True)
+        self.back = back.astype(np.int32)
+        del back
         self.count = np.bincount(self.back, np.concatenate([r.train for r in requests]), len(triple)).astype(np.int64)
         self.of, self.third = triple // m, triple % m
         first = pair // m
@@ -564,7 +572,6 @@ class Shard:
         new = np.append(True, first[1:] != first[:-1])[: len(first)]
         self.first, self.pair_of = first[new], np.cumsum(new) - 1
         self.warm, self.hot, self.total = np.zeros(len(self.first), bool), np.zeros(len(pair), bool), np.zeros(len(self.first), np.int64)
-        warm, hot, total = (np.concatenate([x[i] for x in rows]) for i in (3, 4, 5))
         self.hot[self.pair_back[hot]] = True
         self.warm[self.pair_of[self.pair_back[warm]]] = True
         self.total[self.pair_of[self.pair_back]] = total
@@ -645,7 +652,8 @@ def _answer(batches):
         shard = Shard(requests)
         for (chunk, _), codes in zip(asked, shard.answers(requests, shard.trie(words_, pairs)), strict=True):
             yield _rows([(COUNTS, chunk, part, 0, codes)])
-    release()
+        del requests, shard
+        release()
 
 
 def _score(n: int, v: int, shards: int, hot: np.ndarray, key: str):
