@@ -106,6 +106,15 @@ def test_partitions_that_are_not_touched_carry_over(spark, tmp_path):
     assert target(eng) == [(1, 5, "b/é"), (2, 20, "b/é")]
 
 
+def test_partitions_with_columns_that_have_no_hash(spark, tmp_path):
+    schema = T.StructType.fromDDL("p string, v variant, m map<string,int>")
+    s = SnapshotStore(spark, f"file://{tmp_path}/s")
+    s.create(schema, partition="p")
+    rows = spark.sql("select * from values ('a', parse_json('{\"x\": 1}'), map('k', 1)), ('b', null, null), (null, null, null) as t(p, v, m)")
+    s.commit(s.current(), rows)
+    assert sorted(str(r["p"]) for r in s.read().collect()) == ["None", "a", "b"] and s.read(only=["a"]).first()["m"] == {"k": 1}
+
+
 def test_gated_profile_ignores_recreation(spark, tmp_path):
     opt = Options(profile=pl.OP_GATED)
     eng, box = engine(spark, tmp_path, log(spark, change("c", 1, 1, 10)))
